@@ -73,7 +73,11 @@ FOLD_SPECIALS = {
 
 
 def strip(col: Column) -> Column:
-    return F.btrim(col, F.lit(WHITESPACE))
+    """``col`` without white space at its ends. Most values end in visible ASCII and need
+    no search through the full set."""
+    plain = F.trim(col)
+    visible = F.ascii(plain).between(33, 126) & F.ascii(F.right(plain, F.lit(1))).between(33, 126)
+    return F.when(visible, plain).otherwise(F.btrim(plain, F.lit(WHITESPACE)))
 
 
 def normalize_key(col: Column | str) -> Column:

@@ -56,8 +56,10 @@ def duplicate_flags(
     ``order`` must identify rows, the first being the smallest. A window would gather each key's
     rows in one task; instead each key is reduced to its count and first row, then joined back.
     """
+    # One order column keeps the aggregation hash-based; a struct makes Spark sort.
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     groups = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), F.min(F.struct(*order)).alias("_first")
+        F.count(F.lit(1)).alias("_copies"), F.min(rank).alias("_first")
     )
     joined = balanced_join(
         df, groups, keys, "left", null_safe=True, right_unique=True, policy=policy
@@ -65,7 +67,7 @@ def duplicate_flags(
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         (F.col("_copies") > 1).alias("dup_all"),
-        (F.struct(*order) != F.col("_first")).alias("dup_extra"),
+        (rank != F.col("_first")).alias("dup_extra"),
     )
 
 

@@ -67,33 +67,30 @@ def _tokenised_terms(terms: DataFrame) -> DataFrame:
     )
 
 
-def _windows(df: DataFrame, id_column: str, text: Column, longest: int) -> DataFrame:
-    """One row per place a term may start: its first token and the tokens from there on."""
-    tokens = F.col("_tokens")
-    is_start = lambda i: F.get(tokens, i).rlike(_WORD) | (i == 0) | ~F.get(tokens, i - 1).rlike(_WORD)
-    window = lambda i: F.struct(
-        i.alias("pos"),
-        F.get(tokens, i).alias("head"),
-        F.slice(tokens, i + 1, F.lit(longest + 1)).alias("window"),
-    )
-    places = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), is_start)
-    return (
-        df.select(
-            F.col(id_column).alias("_id"),
-            F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)).alias("_tokens"),
-        )
-        .filter(F.size("_tokens") > 0)
-        .select("_id", F.inline(F.transform(places, window)))
-    )
+def _places(df: DataFrame, id_column: str, text: Column) -> DataFrame:
+    """One row per token. The row keeps the token array of its text; within one codegen stage
+    that is a reference, so the stages below only take slices where a term may start.
 
-
-def _candidates(windows: DataFrame) -> DataFrame:
-    """Token sequences of length ``n`` that no word character follows."""
-    after = F.get("window", F.col("n"))
-    return windows.filter(
-        (F.size("window") >= F.col("n")) & (after.isNull() | ~after.rlike(_WORD))
-    ).select(
-        "_id", "pos", "n", F.array_join(F.slice("window", F.lit(1), F.col("n")), "").alias("term")
+    The outer explode is on purpose: for the inner one Spark adds a filter on the array size,
+    which would tokenise each text a second time.
+    """
+    return df.select(
+        F.col(id_column).alias("_id"),
+        F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)).alias("_tokens"),
+    ).select("_id", "_tokens", F.posexplode_outer("_tokens").alias("pos", "head"))
+
+
+def _candidates(places: DataFrame, odd_heads: bool) -> DataFrame:
+    """Token sequences of length ``n`` between word boundaries."""
+    tokens, pos, n = F.col("_tokens"), F.col("pos"), F.col("n")
+    after = F.get(tokens, pos + n)
+    fits = (F.size(tokens) >= pos + n) & (after.isNull() | ~after.rlike(_WORD))
+    if odd_heads:
+        # A word always starts at a boundary; another character does unless a word precedes it.
+        before = F.get(tokens, pos - 1)
+        fits &= F.col("head").rlike(_WORD) | before.isNull() | ~before.rlike(_WORD)
+    return places.filter(fits).select(
+        "_id", "pos", "n", F.array_join(F.slice(tokens, pos + 1, n), "").alias("term")
     )
 
 
@@ -129,26 +126,29 @@ def match_join(
     dictionary = _tokenised_terms(terms)
     size = dictionary.agg(
         F.sum(F.length("term")).alias("chars"),
-        F.max("tokens").alias("longest"),
+        F.bool_or(~F.col("head").rlike(_WORD)).alias("odd_heads"),
         F.sort_array(F.collect_set("tokens")).alias("lengths"),
     ).first()
     if size.chars is None:
         empty = F.expr("cast(array() as array<string>)")
         return df.select("*", *_hit_columns(empty))
 
-    windows = _windows(df, id_column, text, size.longest)
+    places = _places(df, id_column, text)
     lookup = dictionary.select("term", F.lit(True).alias("_known"))
     if size.chars <= max_broadcast_chars:
         heads = dictionary.groupBy("head").agg(F.collect_set("tokens").alias("lengths"))
-        starts = windows.join(F.broadcast(heads), "head").select(
-            "_id", "pos", "window", F.explode("lengths").alias("n")
-        )
-        spans = _candidates(starts).join(F.broadcast(lookup), "term")
+        starts = places.join(F.broadcast(heads), "head").withColumn("n", F.explode("lengths"))
+        spans = _candidates(starts, size.odd_heads).join(F.broadcast(lookup), "term")
     else:
         lengths = F.array(*[F.lit(n) for n in size.lengths])
-        starts = windows.select("_id", "pos", "window", F.explode(lengths).alias("n"))
+        starts = places.withColumn("n", F.explode(lengths))
         spans = balanced_join(
-            _candidates(starts), lookup, ["term"], "inner", right_unique=True, policy=policy
+            _candidates(starts, size.odd_heads),
+            lookup,
+            ["term"],
+            "inner",
+            right_unique=True,
+            policy=policy,
         )
     hits = (
         spans.groupBy("_id")

@@ -60,12 +60,22 @@ def attach_counts(
     outcomes: list[str],
     normalize_left: bool = True,
     policy: SkewPolicy = DEFAULT_POLICY,
+    searched: DataFrame | None = None,
 ) -> DataFrame:
-    """``projects`` with the count columns; a project without outcomes gets 0. Adds no rows."""
+    """``projects`` with the count columns; a project without outcomes gets 0. Adds no rows.
+
+    ``searched`` is a cheaper table with the same project column to look for hot projects in.
+    """
     raw = F.col(f"`{project_column}`")
-    keyed = projects.withColumn("project_key", normalize_key(raw) if normalize_left else raw)
+    key = (normalize_key(raw) if normalize_left else raw).alias("project_key")
     joined = balanced_join(
-        keyed, counts, ["project_key"], "left", right_unique=True, policy=policy
+        projects.select("*", key),
+        counts,
+        ["project_key"],
+        "left",
+        right_unique=True,
+        policy=policy,
+        left_keys=(projects if searched is None else searched).select(key),
     )
     return joined.select(
         *[F.col(f"`{c}`") for c in projects.columns],

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grantweave.session import plan_bytes
+from grantweave.session import input_bytes
 
 
 @dataclass(frozen=True)
@@ -79,34 +79,40 @@ def balanced_join(
     null_safe: bool = False,
     right_unique: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` on same-named ``keys``; the result keeps the left keys.
 
     ``how`` is ``left`` or ``inner``. ``right_unique`` says each key occurs at most once on the
-    right, which leaves only the left side to split.
+    right, which leaves only the left side to split. Where a side is costly to compute,
+    ``left_keys`` and ``right_keys`` name tables with the same keys to look for hot ones in.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
-    right_keys = [f"_right_{i}" for i in range(len(keys))]
+    right_names = [f"_right_{i}" for i in range(len(keys))]
     others = [c for c in right.columns if c not in keys]
     clash = [c for c in others if c in left.columns]
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
     right = right.select(
-        *[F.col(f"`{k}`").alias(r) for k, r in zip(keys, right_keys)],
+        *[F.col(f"`{k}`").alias(r) for k, r in zip(keys, right_names)],
         *[F.col(f"`{c}`") for c in others],
     )
-    same = _same_key(keys, right_keys, null_safe)
+    same = _same_key(keys, right_names, null_safe)
     output = [F.col(f"`{c}`") for c in [*left.columns, *others]]
 
-    if plan_bytes(left) < policy.min_bytes and plan_bytes(right) < policy.min_bytes:
+    if input_bytes(left) < policy.min_bytes and input_bytes(right) < policy.min_bytes:
         return left.join(right, same, how).select(*output)
 
-    hot = hot_keys(left, keys, policy).select(
+    hot = hot_keys(left if left_keys is None else left_keys, keys, policy).select(
         *keys, F.col("_splits").alias("_left_splits"), F.lit(1).alias("_right_splits")
     )
     if not right_unique:
-        on_right = hot_keys(right, right_keys, policy).toDF(*keys, "_right_splits")
+        searched = right.withColumnsRenamed(dict(zip(right_names, keys)))
+        if right_keys is not None:
+            searched = right_keys
+        on_right = hot_keys(searched, keys, policy).toDF(*keys, "_right_splits")
         hot = (
             hot.unionByName(
                 on_right.select(*keys, F.lit(1).alias("_left_splits"), "_right_splits")
@@ -140,7 +146,7 @@ def balanced_join(
             F.when(no_key, F.lit(policy.max_splits)).otherwise(F.col("_left_splits")),
         )
     salted_left = salted_left.withColumn("_a", _salt(left, F.col("_left_splits")))
-    salted_right = with_splits(right, right_keys)
+    salted_right = with_splits(right, right_names)
     if right_unique:
         salted_left = salted_left.withColumn("_b", F.lit(0))
         salted_right = salted_right.withColumn("_rb", F.lit(0))
@@ -148,7 +154,7 @@ def balanced_join(
         salted_left = salted_left.select("*", all_salts("_right_splits").alias("_b"))
         salted_right = salted_right.withColumn("_rb", _salt(right, F.col("_right_splits")))
     salted_right = salted_right.select(
-        *right_keys,
+        *right_names,
         *[F.col(f"`{c}`") for c in others],
         "_rb",
         all_salts("_left_splits").alias("_ra"),

@@ -78,8 +78,10 @@ def category_frequency(hits: DataFrame, terms: DataFrame) -> DataFrame:
             F.size(F.filter("_hits", lambda h: h == t)).cast("bigint").alias("n"),
         ),
     )
+    # The outer generator keeps Spark from filtering on the array size, a second evaluation.
     per_term = (
-        hits.select(F.inline(counts))
+        hits.select(F.inline_outer(counts))
+        .filter("term is not null")
         .groupBy("term")
         .agg(F.sum("n").alias("hit_count"), F.count(F.lit(1)).alias("row_count"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,15 @@ from grantweave.functions.variants import variant_terms
 def keyword_table(spark: SparkSession, keywords: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(category, keyword)`` from the configured lists."""
     rows = [(category, k) for category, ks in keywords.items() for k in ks]
-    return spark.createDataFrame(rows, "category string, keyword string")
+    columns = {"category": [r[0] for r in rows], "keyword": [r[1] for r in rows]}
+    # An Arrow table of this size becomes part of the plan and needs no Python tasks.
+    return spark.createDataFrame(pa.table(columns, pa.schema(dict.fromkeys(columns, pa.string()))))
 
 
 def english_stopwords(spark: SparkSession) -> DataFrame:
     """Spark's own English stopword list as a ``word`` table."""
     words = StopWordsRemover.loadDefaultStopWords("english")
-    return spark.createDataFrame([(w,) for w in words], "word string")
+    return spark.createDataFrame(pa.table({"word": words}))
 
 
 def remove_stopwords(keywords: DataFrame, stopwords: DataFrame) -> DataFrame:

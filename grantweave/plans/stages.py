@@ -101,35 +101,42 @@ def linked_outcomes(
     if missing:
         raise ValueError(f"missing sources: {missing}")
     key = "APPLICATION_ID"
-    projects = count_copies(with_normal_key(tables["PRJ"], key), name="_left_copies")
+    projects = with_normal_key(tables["PRJ"], key)
     abstracts = with_normal_key(tables["PRJABS"], key)
-    abstracts = suffix_collisions(tables["PRJ"], abstracts, key, "_abs")
-    abstracts = count_copies(abstracts, name="_right_copies")
-    linked = balanced_join(
-        projects, abstracts, [key], "left", null_safe=config.null_safe, policy=policy
-    )
-    columns = [c for c in linked.columns if c not in ("_left_copies", "_right_copies")]
-    linked = linked.select(
-        *[F.col(f"`{c}`") for c in columns],
-        (F.col("_left_copies") * F.coalesce("_right_copies", F.lit(1))).alias(COPIES),
-    )
+    abstracts = suffix_collisions(projects, abstracts, key, "_abs")
+    columns = [*projects.columns, *[c for c in abstracts.columns if c != key]]
+    left = count_copies(projects, name="_left_copies")
+    right = count_copies(abstracts, name="_right_copies")
+
     links = {
         name: (tables[source], "PROJECT_NUMBER", item)
         for name, source, item in OUTCOMES
         if source in tables
     }
-    if not links:
-        return linked, None
-    pairs = outcome_pairs(links)
-    counted = attach_counts(
-        linked,
-        outcome_counts(pairs, list(links)),
-        "PROJECT_NUMBER",
-        list(links),
-        config.normalize_left,
-        policy,
+    pairs = outcome_pairs(links) if links else None
+    if links:
+        # Counts join the projects first, while rows are still free of abstract texts.
+        left = attach_counts(
+            left,
+            outcome_counts(pairs, list(links)),
+            "PROJECT_NUMBER",
+            list(links),
+            config.normalize_left,
+            policy,
+            searched=tables["PRJ"],
+        )
+    linked = balanced_join(
+        left,
+        right,
+        [key],
+        "left",
+        null_safe=config.null_safe,
+        policy=policy,
+        left_keys=projects.select(key),
+        right_keys=abstracts.select(key),
     )
-    return counted.select(*[f"`{c}`" for c in [*columns, *links]], COPIES), pairs
+    copies = F.col("_left_copies") * F.coalesce("_right_copies", F.lit(1))
+    return linked.select(*[F.col(f"`{c}`") for c in [*columns, *links]], copies.alias(COPIES)), pairs
 
 
 def metrics(

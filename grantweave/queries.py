@@ -330,7 +330,7 @@ def study_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grant_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The driver's tables under the column names of the grant sources."""
     orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     text = lambda c: F.col(c).cast("string")
     return {
         "PRJ": orders.select(
@@ -404,7 +404,7 @@ def dup_stats_full_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").select(*LINE_ORDER)
+    lineitem = spread(table(spark, sf_dir, "lineitem").select(*LINE_ORDER), *LINE_ORDER[:2])
     return dup.duplicate_flags(lineitem, ["l_partkey", "l_suppkey"], LINE_ORDER)
 
 
@@ -544,9 +544,9 @@ def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = match.term_hits(concat_text(["text"]), TEXT_TERMS)
+    hits = F.array(F.struct(match.term_hits(concat_text(["text"]), TEXT_TERMS).alias("_hits")))
     return stats.category_frequency(
-        _documents(spark, sf_dir).select(hits.alias("_hits")), _term_table(spark)
+        _documents(spark, sf_dir).select(F.inline(hits)), _term_table(spark)
     )
 
 

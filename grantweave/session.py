@@ -28,10 +28,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/grantweave/{name}-{uuid.uuid4().hex}"
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a DataFrame; runs no job."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Estimated size of the tables a DataFrame reads; runs no job.
+
+    Estimates of joins multiply both sides, so only the leaves of the plan are asked.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -40,6 +43,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     A big input has more splits than cores and is returned as it is, with no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) >= cores * 32 * 1024 * 1024:
+    if input_bytes(df) >= cores * 32 * 1024 * 1024:
         return df
     return df.repartition(cores, *keys)

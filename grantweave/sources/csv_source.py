@@ -112,6 +112,8 @@ def _scan(
         .option("header", True)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
+        # A pruned parse skips the cells whose number tells over-long lines.
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", _BAD)
         .schema(T.StructType(fields))
         .csv(list(paths))

@@ -405,6 +405,10 @@ def test_preprocess_skips_drifting_sources(spark, tmp_path):
 
 def test_four_stages(spark, tmp_path):
     _source_tree(tmp_path / "raw")
+    _write(
+        tmp_path / "raw" / "PRJ" / "y3.csv",
+        b"APPLICATION_ID,CORE_PROJECT_NUM,PROJECT_TERMS\n5,P9,nothing\n5,P9,nothing\n",
+    )
     tables, _ = preprocess(spark, str(tmp_path / "raw"), output=str(tmp_path / "s1"))
     projects, _ = metrics(tables, output=str(tmp_path / "s2"))
     enriched, summary = keywords(projects, output=str(tmp_path / "s3"))
@@ -412,16 +416,16 @@ def test_four_stages(spark, tmp_path):
     library = {r["category"]: r["terms"] for r in row["keyword_library"]}
     assert library == {"treatment": 21, "disease": 159, "pool": 180}
     assert row["enrichment_metrics"]["total_keyword_hits"] == 3
-    assert row["enrichment_metrics"]["rows_with_hits_pct"] == 66.67
+    assert row["enrichment_metrics"]["rows_with_hits_pct"] == 50.0
     assert [t["term"] for t in row["top_flagged_terms"]] == ["aso", "crispr", "gene therapy"]
     assert {len(r["terms"]) for r in row["terms_used"]} == {21, 159}
     retained, dropped, figures = mlexport(enriched, output=str(tmp_path / "s4"))
     assert {r.APPLICATION_ID for r in retained.collect()} == {"1", "A1"}
-    assert {r.APPLICATION_ID for r in dropped.collect()} == {"2"}
+    assert {r.APPLICATION_ID for r in dropped.collect()} == {"2", "5"}
     tb.export_summary(figures, str(tmp_path / "summary"))
     stored = spark.read.text(str(tmp_path / "summary")).collect()
     assert len(stored) == 1
-    assert json.loads(stored[0][0])["filter_summary"]["percent_dropped"] == 33.33
+    assert json.loads(stored[0][0])["filter_summary"]["percent_dropped"] == 50.0
     export_stage_csv(retained, str(tmp_path / "csv"))
     header = spark.read.option("header", True).option("multiLine", True).csv(str(tmp_path / "csv"))
     assert "total unique count" in header.columns
