@@ -9,12 +9,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a Unicode-aware strip removes.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
+# White space in the Unicode sense, at either end of a text.
+_EDGES = r"^[\s\p{Z}\x1c-\x1f\x85]++|[\s\p{Z}\x1c-\x1f\x85]++$"
 
 # Cell texts that mean "missing" in the yearly dumps.
 NULL_TOKENS = (
@@ -73,11 +69,7 @@ FOLD_SPECIALS = {
 
 
 def strip(col: Column) -> Column:
-    """``col`` without white space at its ends. Most values end in visible ASCII and need
-    no search through the full set."""
-    plain = F.trim(col)
-    visible = F.ascii(plain).between(33, 126) & F.ascii(F.right(plain, F.lit(1))).between(33, 126)
-    return F.when(visible, plain).otherwise(F.btrim(plain, F.lit(WHITESPACE)))
+    return F.regexp_replace(col, _EDGES, "")
 
 
 def normalize_key(col: Column | str) -> Column:

@@ -94,7 +94,11 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def text(c: str) -> Column:
         return F.col(f"`{c}`").cast("string")
 
-    # One pass for the lengths; distinct values are counted column by column after local merging.
+    def value(c: str) -> Column:
+        # Long texts are told apart by their digest, so they are not shuffled.
+        return F.when(F.length(text(c)) > 64, F.sha2(text(c), 256)).otherwise(text(c))
+
+    # One pass for the lengths; distinct values are merged locally before they are counted.
     facts = df.agg(
         *[
             F.struct(
@@ -108,7 +112,7 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).select(F.inline(F.array(*[f"c{i}" for i in range(len(columns))])))
     values = df.select(
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("v")) for c in columns])
+            F.array(*[F.struct(F.lit(c).alias("column_name"), value(c).alias("v")) for c in columns])
         ).alias("x")
     ).select("x.*")
     distinct = (

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from grantweave.operators import append as ap
@@ -43,6 +43,7 @@ from grantweave.sources import csv_source
 from grantweave.sources.tables import export_csv, write_snapshot, write_table
 
 COPIES = "_copies"
+FIGURES = ["unique_duplicate_rows", "total_duplicates", "extra_duplicates", "rows"]
 
 
 def preprocess(
@@ -82,10 +83,6 @@ def preprocess(
     return appended, assemble(sections)
 
 
-def _without_copies(df: DataFrame) -> DataFrame:
-    return df.drop(COPIES)
-
-
 def linked_outcomes(
     tables: Mapping[str, DataFrame],
     config: StageConfig = DEFAULT_CONFIG,
@@ -147,15 +144,25 @@ def metrics(
 ) -> tuple[DataFrame, DataFrame]:
     """Projects with abstracts and distinct outcome counts, without full-row duplicates."""
     table, pairs = linked_outcomes(tables, config, policy)
+    result = table.drop(COPIES)
+    figures = [*duplicate_totals(COPIES), F.count(F.lit(1)).alias("rows")]
     if output:
-        table = write_table(table, output)
-    result = _without_copies(table)
+        # The copies are summed up while the table is written, so they need not be stored.
+        seen = Observation()
+        result = write_table(table.observe(seen, *figures).drop(COPIES), output)
+        totals = table.sparkSession.createDataFrame(
+            [tuple(seen.get[name] for name in FIGURES)],
+            ", ".join(f"{name} bigint" for name in FIGURES),
+        )
+    else:
+        totals = table.agg(*figures)
+    columns = F.lit(len(result.columns)).cast("bigint").alias("columns")
     sections = {
         "linked": row_struct(
             link_audit(tables["PRJ"], tables["PRJABS"], "APPLICATION_ID", config.null_safe)
         ),
-        "deduplication": row_struct(table.agg(*duplicate_totals(COPIES))),
-        "dimensions": row_struct(stats.dimensions(result)),
+        "deduplication": row_struct(totals.select(*FIGURES[:3])),
+        "dimensions": row_struct(totals.select("rows", columns)),
     }
     if pairs is not None:
         sections["aggregate_outcomes"] = row_list(outcome_duplicates(pairs), "outcome")

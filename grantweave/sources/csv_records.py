@@ -1,0 +1,131 @@
+"""Reading large CSV files whose quoted cells contain line breaks, in splits.
+
+Spark reads such a file in one task. Here the lines are read in splits instead, and the number of
+quotes before each line tells whether it starts a record: quotes are summed per split, the sums are
+carried over the splits of a file, and within a split over its lines. Lines that belong together
+are then joined to records. What moves between tasks is bounded by a split or a record, never by a
+file.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+# One record: cells are either fully quoted or free of quotes.
+_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+_RECORD = rf"(?s)^{_CELL}(?:,{_CELL})*+$"
+
+
+def count_char(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def separators(record: Column) -> Column:
+    """Cell separators of a record, those inside quotes not counted."""
+    return count_char(F.regexp_replace(record, '(?s)"[^"]*+"', ""), ",")
+
+
+def file_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(path, split, id, line, odd)`` of Latin-1 files; ``id`` orders lines within a split."""
+    line = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(list(paths))
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("id"),
+            line.alias("line"),
+        )
+        .withColumn("odd", (count_char(F.col("line"), '"') % 2).cast("int"))
+    )
+
+
+def with_record_start(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``start``, the id of the line on which their record starts.
+
+    Header records are left out.
+    """
+    in_order = Window.partitionBy("path", "split").orderBy("id")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    by_split = Window.partitionBy("path").orderBy("split")
+    earlier = by_split.rowsBetween(Window.unboundedPreceding, -1)
+
+    # Whether the first line of each split lies inside quotes: one row per split.
+    parity = lines.groupBy("path", "split").agg(F.sum("odd").alias("quotes"))
+    inside = parity.select(
+        "path", "split", F.coalesce(F.sum("quotes").over(earlier) % 2, F.lit(0)).alias("inside")
+    )
+    open_quotes = F.col("inside") + F.coalesce(F.sum("odd").over(before), F.lit(0))
+    started = (
+        lines.join(inside, ["path", "split"])
+        .withColumn("first", F.when(open_quotes % 2 == 0, F.col("id")))
+        .withColumn("start", F.last("first", ignorenulls=True).over(so_far))
+    )
+    # A record may begin in an earlier split: again one row per split.
+    last_starts = started.groupBy("path", "split").agg(
+        F.max("first").alias("last_start"), F.min("first").alias("first_start")
+    )
+    carried = last_starts.select(
+        "path",
+        "split",
+        F.last("last_start", ignorenulls=True).over(earlier).alias("carried"),
+        F.min_by("first_start", "split").over(Window.partitionBy("path")).alias("header"),
+    )
+    return (
+        started.join(carried, ["path", "split"])
+        .withColumn("start", F.coalesce("start", "carried"))
+        .filter(F.col("start") != F.col("header"))
+        .select("path", "start", "id", "line", "odd")
+    )
+
+
+def oversized_files(started: DataFrame, max_record: int) -> set[str]:
+    """Files with a record of more than ``max_record`` characters, the mark of a stray quote.
+
+    Checked before lines are put together, on their lengths alone.
+    """
+    sizes = started.groupBy("path", "start").agg(F.sum(F.length("line")).alias("size"))
+    rows = sizes.filter(F.col("size") > max_record).select("path").distinct().collect()
+    return {r.path for r in rows}
+
+
+def assemble_records(started: DataFrame) -> DataFrame:
+    """``(path, record)``; only lines of records that span lines are shuffled."""
+    alone = (F.col("odd") == 0) & (F.col("id") == F.col("start"))
+    spanning = (
+        started.filter(~alone)
+        .groupBy("path", "start")
+        .agg(F.array_sort(F.collect_list(F.struct("id", "line"))).alias("lines"))
+        .select("path", F.array_join("lines.line", "\n").alias("record"))
+    )
+    records = started.filter(alone).select("path", F.col("line").alias("record"))
+    # A file with CRLF line ends has its quoted line breaks shortened too, as Spark's reader does.
+    record = F.col("record")
+    unix = F.when(
+        record.endswith("\r"), F.rtrim(F.replace(record, F.lit("\r\n"), F.lit("\n")), F.lit("\r"))
+    ).otherwise(record)
+    return (
+        records.unionByName(spanning).select("path", unix.alias("record")).filter("record != ''")
+    )
+
+
+def irregular_files(records: DataFrame) -> set[str]:
+    """Files with a quote in the middle of a cell, where counting quotes proves nothing."""
+    odd_ones = records.filter(~F.col("record").rlike(_RECORD)).select("path").distinct()
+    return {r.path for r in odd_ones.collect()}
+
+
+def parse_records(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records as columns of text. Short records are padded, over-long ones dropped."""
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+    options = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    return (
+        records.filter(separators(F.col("record")) < len(columns))
+        .select(F.from_csv("record", schema, options).alias("r"))
+        .select("r.*")
+    )

@@ -6,21 +6,34 @@ whose columns look like different types still append.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantweave.functions.text import NULL_TOKENS, null_tokens
-from grantweave.operators.append import append_by_name
+from grantweave.operators.append import append_by_name, row_counts
+from grantweave.session import scratch_path
+from grantweave.sources import csv_records
+from grantweave.sources.tables import write_table
 
 _BAD = "_unparsed_line"
 
 # The byte-order mark, as itself and as Latin-1 shows its three bytes.
 BYTE_ORDER_MARKS = ("\ufeff", "ï»¿")
 
+#: how a file is parsed: in splits, in one task, or in splits with records put together
+SPLITS, WHOLE, RECORDS = "splits", "whole", "records"
+#: files from this size whose records span lines are read by :data:`RECORDS`
+LARGE_FILE = 256 * 1024**2
+#: longest record, in characters, that is put together from lines
+MAX_RECORD = 32 * 1024**2
+
 CSV_OPTIONS = {"encoding": "ISO-8859-1", "quote": '"', "escape": '"', "sep": ","}
 
 
@@ -42,7 +55,7 @@ class SourceFile:
     size: int
     raw_columns: tuple[str, ...]
     columns: tuple[str, ...]  # after renaming
-    multi_line: bool = True
+    parse: str = WHOLE
 
 
 def list_folders(spark: SparkSession, root: str, sources: Sequence[str]) -> list[SourceFolder]:
@@ -96,12 +109,6 @@ def rename_header(columns: Sequence[str], names: Mapping[str, str]) -> tuple[str
     return renamed
 
 
-def _separators(line: Column) -> Column:
-    """Field separators of a CSV record, those inside quotes not counted."""
-    outside = F.regexp_replace(line, '(?s)"[^"]*"', "")
-    return F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
-
-
 def _scan(
     spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool
 ) -> DataFrame:
@@ -121,13 +128,31 @@ def _scan(
     bad = F.col(_BAD)
     # Spark refuses to count rows by the unparsed line alone, so a data column takes part.
     some_cell = F.length(F.concat_ws("", F.col(f"`{columns[0]}`"))) >= 0
-    fits = bad.isNull() | (_separators(bad) < len(columns))
+    fits = bad.isNull() | (csv_records.separators(bad) < len(columns))
     return raw.filter(fits & some_cell).drop(_BAD)
 
 
-def _header_cells(spark: SparkSession, path: str) -> list[str | None] | None:
-    first = spark.read.options(**CSV_OPTIONS).option("multiLine", True).csv(path).first()
-    return None if first is None else list(first)
+def _first_lines(spark: SparkSession, path: str) -> list[str]:
+    """The first two lines of a file that are not empty; reads no further."""
+    line = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    lines = spark.read.text(path).select(line.alias("line")).filter("trim(line) != ''")
+    return [r.line for r in lines.head(2)]
+
+
+def _look(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """The header of a file, or ``None`` if the file holds no data row."""
+    lines = _first_lines(spark, path)
+    if len(lines) < 2:
+        return None
+    if lines[0].count('"') % 2:  # a header that spans lines
+        scan = spark.read.options(**CSV_OPTIONS).option("multiLine", True)
+        header = clean_header(list(scan.csv(path).first()))
+    else:
+        header = clean_header(next(csv.reader([lines[0]])))
+        if not lines[1].count('"') % 2 and lines[1].count(",") < len(header):
+            return header
+    names = [f"c{i}" for i in range(len(header))]
+    return header if _scan(spark, [path], names, True).head(1) else None
 
 
 def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set[str]:
@@ -137,20 +162,20 @@ def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set
     """
     if not paths:
         return set()
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    odd = csv_records.count_char(F.col("value"), '"') % 2 == 1
     rows = (
         spark.read.text(list(paths))
-        .select(F.col("_metadata.file_path").alias("path"), (quotes % 2 == 1).alias("odd"))
+        .select(F.col("_metadata.file_path").alias("path"), odd.alias("odd"))
         .groupBy("path")
         .agg(F.bool_or("odd").alias("odd"))
         .filter("odd")
         .collect()
     )
-    return {r.path for r in rows}
+    return {_tail(unquote(r.path)) for r in rows}
 
 
 def _tail(path: str) -> str:
+    """A path without its scheme, which listings and scans spell differently."""
     return path.split(":", 1)[-1].lstrip("/")
 
 
@@ -159,26 +184,30 @@ def inspect_files(
     folders: Sequence[SourceFolder],
     rename: Mapping[str, str] | None = None,
     multi_line: bool | None = None,
+    large_file: int = LARGE_FILE,
 ) -> list[SourceFile]:
     """Headers of all files that hold data rows; files without any are left out.
 
     ``multi_line`` None finds out per file whether records span lines.
     """
-    found = []
-    for folder in folders:
-        for path, size in folder.files:
-            cells = _header_cells(spark, path)
-            if cells is None:
-                continue
-            raw = clean_header(cells)
-            if not _scan(spark, [path], [f"c{i}" for i in range(len(raw))], True).head(1):
-                continue
-            columns = rename_header(raw, rename or {})
-            found.append(SourceFile(folder.source, path, size, raw, columns))
-    if multi_line is None:
-        spanning = {_tail(p) for p in files_with_quoted_newlines(spark, [f.path for f in found])}
-        return [replace(f, multi_line=_tail(f.path) in spanning) for f in found]
-    return [replace(f, multi_line=multi_line) for f in found]
+    listed = [(f.source, path, size) for f in folders for path, size in f.files]
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda entry: _look(spark, entry[1]), listed))
+    found = [
+        SourceFile(source, path, size, header, rename_header(header, rename or {}))
+        for (source, path, size), header in zip(listed, headers)
+        if header is not None
+    ]
+    if multi_line is not None:
+        return [replace(f, parse=WHOLE if multi_line else SPLITS) for f in found]
+    spanning = files_with_quoted_newlines(spark, [f.path for f in found])
+
+    def choose(f: SourceFile) -> str:
+        if _tail(f.path) not in spanning:
+            return SPLITS
+        return RECORDS if f.size >= large_file else WHOLE
+
+    return [replace(f, parse=choose(f)) for f in found]
 
 
 def rename_audit(
@@ -194,6 +223,27 @@ def rename_audit(
     return spark.createDataFrame(rows, "source string, file string, old string, new string")
 
 
+def _scan_records(
+    spark: SparkSession, paths: list[str], columns: Sequence[str], max_record: int = MAX_RECORD
+) -> DataFrame:
+    """Large files by records. Lines and records are stored, as each is checked before it is used;
+    files in which counting quotes proves nothing are read whole."""
+    started = write_table(
+        csv_records.with_record_start(csv_records.file_lines(spark, paths)),
+        scratch_path(spark, "lines"),
+    )
+    bad = csv_records.oversized_files(started, max_record)
+    records = write_table(
+        csv_records.assemble_records(started.filter(~F.col("path").isin(*bad))),
+        scratch_path(spark, "records"),
+    )
+    bad |= csv_records.irregular_files(records)
+    parsed = csv_records.parse_records(records.filter(~F.col("path").isin(*bad)), columns)
+    tails = {_tail(unquote(p)) for p in bad}
+    whole = [p for p in paths if _tail(p) in tails]
+    return parsed.unionByName(_scan(spark, whole, columns, True)) if whole else parsed
+
+
 def read_source(
     spark: SparkSession,
     files: Sequence[SourceFile],
@@ -203,18 +253,21 @@ def read_source(
 
     Files with the same header share one scan. Missing-value spellings become null here, once.
     """
-    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
     for f in files:
-        groups.setdefault((f.columns, f.multi_line), []).append(f.path)
-    scans = [_scan(spark, paths, columns, ml) for (columns, ml), paths in groups.items()]
+        groups.setdefault((f.columns, f.parse), []).append(f.path)
+    scans = [
+        _scan_records(spark, paths, columns)
+        if parse == RECORDS
+        else _scan(spark, paths, columns, parse == WHOLE)
+        for (columns, parse), paths in groups.items()
+    ]
     table = append_by_name(scans)
     return table.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in table.columns])
 
 
 def load_audit(tables: Mapping[str, DataFrame], files: Sequence[SourceFile]) -> DataFrame:
     """Per source: files with data, rows, input bytes."""
-    from grantweave.operators.append import row_counts
-
     spark = next(iter(tables.values())).sparkSession
     facts: dict[str, list[int]] = {}
     for f in files:

@@ -2,6 +2,7 @@
 
 import dataclasses
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from grantweave.operators import match, outcomes, split, stats
 from grantweave.operators import terms as tm
 from grantweave.plans import DEFAULT_CONFIG, StageConfig, keywords, metrics, mlexport, preprocess
 from grantweave.plans.stages import config_terms, export_stage_csv, linked_outcomes
+from grantweave.sources import csv_records
 from grantweave.sources import csv_source as cs
 from grantweave.sources import tables as tb
 
@@ -324,12 +326,51 @@ def test_csv_rows(spark, tmp_path, multi_line):
 def test_csv_without_quoted_newlines_is_read_in_splits(spark, tmp_path):
     _write(tmp_path / "S" / "a.csv", 'K,V\n1,"caf\xe9, ""x"""\n2\n3,a,b\n4,a,\n'.encode("latin1"))
     files = cs.inspect_files(spark, cs.list_folders(spark, str(tmp_path), ["S"]))
-    assert not files[0].multi_line
+    assert files[0].parse == cs.SPLITS
     expected = {("1", 'caf\xe9, "x"'), ("2", None)}
     assert _rows(cs.read_source(spark, files)) == expected
     assert cs.read_source(spark, files).count() == 2
 
 
+def _span_lines(pick, source):
+    cells = ["x", "", '"a, ""b"""', '"l1\nl2\n\nl""4"', "caf\xe9", "NA"]
+    lines = []
+    for i in range(60):
+        row = [str(source * 1000 + i), pick.choice(cells), pick.choice(cells)]
+        lines.append(",".join([row[:2], row, row, row, [*row, "over"]][pick.randrange(5)]))
+    return ["ID,U,W", *lines[:5], "", *lines[5:]]
+
+
+def test_large_files_are_read_by_record(spark, tmp_path):
+    pick = random.Random(3)
+    for i, end in enumerate(["\n", "\r\n", "\n"]):
+        lines = _span_lines(pick, i)
+        if i == 2:
+            lines.insert(9, '7,5" pipe,a "word"')  # quotes inside a cell: not countable
+        text = "\n".join(lines) if end == "\n" else end.join(lines)
+        _write(tmp_path / "S" / f"f {i}.csv", (text + end).encode("latin1"))
+    folders = cs.list_folders(spark, str(tmp_path), ["S"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    try:
+        by_record = cs.inspect_files(spark, folders, large_file=0)
+        assert {f.parse for f in by_record} == {cs.RECORDS}
+        paths = [f.path for f in by_record]
+        lines = csv_records.file_lines(spark, paths)
+        assert lines.select("path", "split").distinct().count() > 10
+        records = csv_records.assemble_records(csv_records.with_record_start(lines))
+        assert {p[-5] for p in csv_records.irregular_files(records)} == {"2"}
+        whole = cs.inspect_files(spark, folders, multi_line=True)
+        ours, theirs = cs.read_source(spark, by_record), cs.read_source(spark, whole)
+        assert ours.count() > 100
+        assert ours.exceptAll(theirs).count() == 0
+        assert theirs.exceptAll(ours).count() == 0
+        short = cs._scan_records(spark, paths, ["ID", "U", "W"], max_record=10)
+        plain = cs._scan(spark, paths, ["ID", "U", "W"], True)
+        assert short.exceptAll(plain).count() == plain.exceptAll(short).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_header_cleanup():
     assert cs.clean_header(["A", "A", "B", None]) == ("A", "A.1", "B", "Unnamed: 3")
     assert cs.clean_header(['ï»¿"X"', "﻿Y", '"Z"']) == ("X", "Y", "Z")
