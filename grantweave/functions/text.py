@@ -65,6 +65,32 @@ FOLD_SPECIALS = {
     "“": '"',
     "”": '"',
     "…": "...",
+    "µ": "u",
+    "α": "a",
+    "β": "b",
+    "γ": "g",
+    "δ": "d",
+    "ε": "e",
+    "ζ": "z",
+    "η": "e",
+    "θ": "th",
+    "ι": "i",
+    "κ": "k",
+    "λ": "l",
+    "μ": "m",
+    "ν": "n",
+    "ξ": "x",
+    "ο": "o",
+    "π": "p",
+    "ρ": "r",
+    "ς": "s",
+    "σ": "s",
+    "τ": "t",
+    "υ": "u",
+    "φ": "ph",
+    "χ": "kh",
+    "ψ": "ps",
+    "ω": "o",
 }
 
 

@@ -13,18 +13,21 @@ from grantweave.functions.text import normalize_keyword
 from grantweave.functions.variants import variant_terms
 
 
+def text_table(spark: SparkSession, **columns: Sequence[str]) -> DataFrame:
+    """A small table of text columns. As Arrow data it is part of the plan and needs no tasks."""
+    schema = pa.schema([(name, pa.string()) for name in columns])
+    return spark.createDataFrame(pa.table({n: list(v) for n, v in columns.items()}, schema))
+
+
 def keyword_table(spark: SparkSession, keywords: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(category, keyword)`` from the configured lists."""
     rows = [(category, k) for category, ks in keywords.items() for k in ks]
-    columns = {"category": [r[0] for r in rows], "keyword": [r[1] for r in rows]}
-    # An Arrow table of this size becomes part of the plan and needs no Python tasks.
-    return spark.createDataFrame(pa.table(columns, pa.schema(dict.fromkeys(columns, pa.string()))))
+    return text_table(spark, category=[r[0] for r in rows], keyword=[r[1] for r in rows])
 
 
 def english_stopwords(spark: SparkSession) -> DataFrame:
     """Spark's own English stopword list as a ``word`` table."""
-    words = StopWordsRemover.loadDefaultStopWords("english")
-    return spark.createDataFrame(pa.table({"word": words}))
+    return text_table(spark, word=StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def remove_stopwords(keywords: DataFrame, stopwords: DataFrame) -> DataFrame:
@@ -38,11 +41,14 @@ def remove_stopwords(keywords: DataFrame, stopwords: DataFrame) -> DataFrame:
 
 def expand_terms(keywords: DataFrame, stopwords: DataFrame | None = None) -> DataFrame:
     """Distinct ``(category, term)``: every spelling variant of every kept keyword."""
+    # Equal keywords are merged before they are looked up and expanded.
+    distinct = keywords.select(
+        "category", normalize_keyword(F.col("keyword")).alias("keyword")
+    ).distinct()
     if stopwords is not None:
-        keywords = remove_stopwords(keywords, stopwords)
-    # Equal keywords are merged before they are expanded.
-    distinct = keywords.select("category", normalize_keyword(F.col("keyword")).alias("k")).distinct()
-    return distinct.select("category", F.explode(variant_terms(F.col("k"))).alias("term")).distinct()
+        distinct = remove_stopwords(distinct, stopwords)
+    variants = F.explode(variant_terms(F.col("keyword"))).alias("term")
+    return distinct.select("category", variants).distinct()
 
 
 def term_pool(terms: DataFrame) -> DataFrame:

@@ -485,8 +485,8 @@ def _doc_config() -> StageConfig:
 
 
 def _term_table(spark: SparkSession) -> DataFrame:
-    rows = [("phrase" if " " in t else "word", t) for t in TEXT_TERMS]
-    return spark.createDataFrame([*rows, ("word", "de la")], "category string, term string")
+    rows = [("phrase" if " " in t else "word", t) for t in TEXT_TERMS] + [("word", "de la")]
+    return tm.text_table(spark, category=[r[0] for r in rows], term=[r[1] for r in rows])
 
 
 def text_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -608,7 +608,7 @@ def ml_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         ml_columns=("doc_id", "lang", "total_count", "total_unique_count", "flagged"),
         cutoff_value=CUTOFF,
     )
-    prose = spark.createDataFrame([("prose", t) for t in TEXT_TERMS], "category string, term string")
+    prose = tm.text_table(spark, category=["prose"] * len(TEXT_TERMS), term=TEXT_TERMS)
     terms = stages.config_terms(spark, config).unionByName(prose)
     enriched = match.enrich(_documents(spark, sf_dir), config.text_columns, terms)
     retained, _ = split.split_by_cutoff(enriched, config.cutoff_value, config.ml_columns)

@@ -284,13 +284,15 @@ def test_normalize_key(spark):
 
 
 def test_fold_accents(spark):
-    df = spark.createDataFrame([("Ærøskøbing",), ("straße",), ("l’été",), ("plain",), ("é",)], "t string")
+    texts = ["Ærøskøbing", "straße", "l’été", "plain", "e\u0301", "β-θ"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(fold_accents(F.col("t"))).collect()] == [
         "AEroskobing",
         "strasse",
         "l'ete",
         "plain",
         "e",
+        "b-th",
     ]
 
 
@@ -503,3 +505,20 @@ def test_null_items_count_once(spark):
 def test_missing_export_raises(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         cs.read_table_csv(spark, str(tmp_path / "absent"), "a string").count()
+
+
+def test_scratch_folder():
+    from types import SimpleNamespace
+
+    from grantweave.session import shared_dir
+
+    def session(master, folder):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda *_: folder),
+            sparkContext=SimpleNamespace(master=master, applicationId=f"{master}-{folder}"),
+        )
+
+    assert shared_dir(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_dir(session("local[2]", None)) == shared_dir(session("local[2]", None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn", None))

@@ -69,8 +69,17 @@ def test_hot_keys_are_bounded_and_split(spark):
 def test_identical_rows_spread_over_salts(spark):
     left = spark.range(400).select(F.lit("hot").alias("k")).repartition(8)
     right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    joined = balanced_join(left, right, ["k"], right_unique=True, policy=SALTED)
-    assert joined.count() == 400
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = balanced_join(left, right, ["k"], right_unique=True, policy=SALTED)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in sizes) == 400
+    assert len(sizes) > 1
+    assert max(r["count"] for r in sizes) < 300
 
 
 def test_salted_link_audit_and_flags(spark):
