@@ -39,14 +39,11 @@ DEFAULT_POLICY = SkewPolicy()
 def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """The heaviest keys and the number of splits each should get; at most ``max_hot_keys`` rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return _pick_hot(counts, keys, policy)
-
-
-def _pick_hot(counts: DataFrame, keys: list[str], policy: SkewPolicy) -> DataFrame:
     splits = F.least(F.ceil(F.col("_rows") / policy.rows_per_split), F.lit(policy.max_splits))
     return (
         counts.filter(F.col("_rows") >= policy.hot_rows)
-        .orderBy(F.desc("_rows"))
+        # Ties are ordered too: both sides of a join must arrive at the same list.
+        .orderBy(F.desc("_rows"), *keys)
         .limit(policy.max_hot_keys)
         .select(*keys, splits.cast("int").alias("_splits"))
     )

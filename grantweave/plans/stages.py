@@ -39,6 +39,7 @@ from grantweave.operators.terms import (
 )
 from grantweave.plans.config import DEFAULT_CONFIG, EXPORT_NAMES, OUTCOMES, StageConfig
 from grantweave.plans.summaries import assemble, row_list, row_struct
+from grantweave.session import scratch_path
 from grantweave.sources import csv_source
 from grantweave.sources.tables import export_csv, write_snapshot, write_table
 
@@ -83,12 +84,22 @@ def preprocess(
     return appended, assemble(sections)
 
 
+def outcome_links(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, str, str]]:
+    """The outcome sources at hand; an absent one has no count column."""
+    return {
+        name: (tables[source], "PROJECT_NUMBER", item)
+        for name, source, item in OUTCOMES
+        if source in tables
+    }
+
+
 def linked_outcomes(
     tables: Mapping[str, DataFrame],
     config: StageConfig = DEFAULT_CONFIG,
     policy: SkewPolicy = DEFAULT_POLICY,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct project rows with abstract and outcome counts, and the outcome pairs behind them.
+    pairs: DataFrame | None = None,
+) -> DataFrame:
+    """Distinct project rows with abstract and outcome counts; ``pairs`` may hold stored pairs.
 
     Full-row duplicates of the joined table can only come from full-row duplicates of its inputs,
     so each input is reduced to distinct rows with a number of copies before the join. The product
@@ -105,13 +116,9 @@ def linked_outcomes(
     left = count_copies(projects, name="_left_copies")
     right = count_copies(abstracts, name="_right_copies")
 
-    links = {
-        name: (tables[source], "PROJECT_NUMBER", item)
-        for name, source, item in OUTCOMES
-        if source in tables
-    }
-    pairs = outcome_pairs(links) if links else None
+    links = outcome_links(tables)
     if links:
+        pairs = outcome_pairs(links) if pairs is None else pairs
         # Counts join the projects first, while rows are still free of abstract texts.
         left = attach_counts(
             left,
@@ -133,7 +140,7 @@ def linked_outcomes(
         right_keys=abstracts.select(key),
     )
     copies = F.col("_left_copies") * F.coalesce("_right_copies", F.lit(1))
-    return linked.select(*[F.col(f"`{c}`") for c in [*columns, *links]], copies.alias(COPIES)), pairs
+    return linked.select(*[F.col(f"`{c}`") for c in [*columns, *links]], copies.alias(COPIES))
 
 
 def metrics(
@@ -143,7 +150,12 @@ def metrics(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> tuple[DataFrame, DataFrame]:
     """Projects with abstracts and distinct outcome counts, without full-row duplicates."""
-    table, pairs = linked_outcomes(tables, config, policy)
+    links = outcome_links(tables)
+    pairs = outcome_pairs(links) if links else None
+    if output and links:
+        # Counts and duplicate figures both start from the pairs, so they are stored.
+        pairs = write_table(pairs, scratch_path(pairs.sparkSession, "pairs"))
+    table = linked_outcomes(tables, config, policy, pairs)
     result = table.drop(COPIES)
     figures = [*duplicate_totals(COPIES), F.count(F.lit(1)).alias("rows")]
     if output:

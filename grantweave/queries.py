@@ -358,15 +358,11 @@ def grant_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def project_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table_, _ = stages.linked_outcomes(grant_tables(spark, sf_dir))
-    return table_.drop(stages.COPIES)
+    return stages.linked_outcomes(grant_tables(spark, sf_dir)).drop(stages.COPIES)
 
 
 def outcome_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = grant_tables(spark, sf_dir)
-    links = {
-        name: (tables[source], "PROJECT_NUMBER", item) for name, source, item in stages.OUTCOMES
-    }
+    links = stages.outcome_links(grant_tables(spark, sf_dir))
     return outcomes.outcome_duplicates(outcomes.outcome_pairs(links))
 
 

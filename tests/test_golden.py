@@ -97,7 +97,7 @@ def test_metrics_stage(spark, grants, tmp_path):
 
 def test_left_key_can_stay_raw(grants):
     raw = dataclasses.replace(DEFAULT_CONFIG, normalize_left=False)
-    table, _ = linked_outcomes(grants, raw)
+    table = linked_outcomes(grants, raw)
     assert table.filter("APPLICATION_ID = '3'").first().publication_count == 0
 
 
@@ -107,9 +107,9 @@ def test_null_ids_meet_only_when_asked(spark):
     )
     absent = spark.createDataFrame([(None, "x")], "APPLICATION_ID string, ABSTRACT_TEXT string")
     tables = {"PRJ": prj, "PRJABS": absent}
-    assert linked_outcomes(tables)[0].first().ABSTRACT_TEXT is None
+    assert linked_outcomes(tables).first().ABSTRACT_TEXT is None
     safe = dataclasses.replace(DEFAULT_CONFIG, null_safe=True)
-    assert linked_outcomes(tables, safe)[0].first().ABSTRACT_TEXT == "x"
+    assert linked_outcomes(tables, safe).first().ABSTRACT_TEXT == "x"
 
 
 def test_missing_project_source_is_an_error(grants):
