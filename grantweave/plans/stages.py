@@ -17,7 +17,6 @@ from grantweave.operators import stats
 from grantweave.operators.duplicates import count_copies, duplicate_totals
 from grantweave.operators.link import link_audit, suffix_collisions, with_normal_key
 from grantweave.operators.match import (
-    COUNT_COLUMNS,
     MAX_PATTERN_TERMS,
     enrich,
     present_columns,
@@ -257,7 +256,6 @@ def export_stage_csv(df: DataFrame, path: str) -> None:
 
 
 __all__ = [
-    "COUNT_COLUMNS",
     "config_terms",
     "export_stage_csv",
     "keywords",

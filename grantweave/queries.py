@@ -39,7 +39,7 @@ TEXT_TERMS = (
     "de la",
 )
 CUTOFF = 4
-LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -639,7 +639,7 @@ def preprocess_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dimensions.total_rows",
         "dimensions.total_columns",
         joined(F.transform("appended", lambda a: a["source"])).alias("appended_sources"),
-        joined(F.array_distinct(F.transform("columns_renamed", lambda r: r["old"]))).alias("renamed"),
+        joined(F.array_distinct("columns_renamed.old")).alias("renamed"),
     )
 
 

@@ -167,7 +167,14 @@ def test_stopword_filter_only_whole_keywords(spark):
     assert {r.keyword for r in kept.collect()} == {"the gene", "gene"}
 
 
-KEYWORDS = ["gene therapy", "CRISPR", "ASO", "Tay-Sachs Disease", "Wilson's Disease", "Alström Syndrome"]
+KEYWORDS = [
+    "gene therapy",
+    "CRISPR",
+    "ASO",
+    "Tay-Sachs Disease",
+    "Wilson's Disease",
+    "Alström Syndrome",
+]
 TEXTS = [
     ("CRISPR, crispr and CRISPRs.", 3, ["crispr", "crisprs"]),
     ("gene gene editing gene", 3, ["gene", "gene editing"]),
@@ -394,7 +401,10 @@ def test_schema_drift():
 
 
 def _source_tree(root):
-    _write(root / "PRJ" / "y1.csv", b"APPLICATION_ID,CORE_PROJECT_NUM,PROJECT_TITLE\n1,P1,Gene therapy\n2,P2,x\n")
+    _write(
+        root / "PRJ" / "y1.csv",
+        b"APPLICATION_ID,CORE_PROJECT_NUM,PROJECT_TITLE\n1,P1,Gene therapy\n2,P2,x\n",
+    )
     _write(root / "PRJ" / "y2.csv", b"APPLICATION_ID,CORE_PROJECT_NUM,PHR\nA1,P1,crispr\n")
     _write(root / "PRJ" / "empty.csv", b"APPLICATION_ID,OTHER\n")
     _write(root / "PRJABS" / "y1.csv", b'APPLICATION_ID,ABSTRACT_TEXT\n1,"long\ntext on ASO"\n')

@@ -123,7 +123,8 @@ def _brute_force(text, terms):
             fitting = [
                 t
                 for t in terms
-                if text.startswith(t, i) and not (text[i + len(t) : i + len(t) + 1] and word(text[i + len(t)]))
+                if text.startswith(t, i)
+                and not (i + len(t) < len(text) and word(text[i + len(t)]))
             ]
             if fitting:
                 best = max(fitting, key=len)
