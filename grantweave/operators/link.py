@@ -14,11 +14,16 @@ def with_normal_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def suffix_collisions(left: DataFrame, right: DataFrame, key: str, suffix: str) -> DataFrame:
-    """``right`` with every non-key column that ``left`` also has renamed, so no name is doubled."""
-    clash = {c: f"{c}{suffix}" for c in right.columns if c != key and c in left.columns}
-    taken = [n for n in clash.values() if n in left.columns or n in right.columns]
-    if taken:
-        raise ValueError(f"renamed columns already exist: {taken}")
+    """``right`` with every non-key column that ``left`` also has renamed, so no name is doubled.
+
+    Names are compared as Spark resolves them, without regard to case.
+    """
+    on_left = {c.lower() for c in left.columns}
+    clash = {c: f"{c}{suffix}" for c in right.columns if c != key and c.lower() in on_left}
+    taken = on_left | {c.lower() for c in right.columns}
+    doubled = [n for n in clash.values() if n.lower() in taken]
+    if doubled:
+        raise ValueError(f"renamed columns already exist: {doubled}")
     return right.withColumnsRenamed(clash)
 
 

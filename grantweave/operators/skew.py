@@ -89,7 +89,8 @@ def balanced_join(
         raise ValueError(f"unsupported join type: {how}")
     right_names = [f"_right_{i}" for i in range(len(keys))]
     others = [c for c in right.columns if c not in keys]
-    clash = [c for c in others if c in left.columns]
+    on_left = {c.lower() for c in left.columns}
+    clash = [c for c in others if c.lower() in on_left]
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
     right = right.select(

@@ -4,6 +4,7 @@ import dataclasses
 import json
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,8 +127,9 @@ def test_metrics_without_outcomes(grants):
 
 def test_link_suffix(spark, grants):
     abstracts = grants["PRJABS"].withColumn("PROJECT_NUMBER", F.lit("other"))
+    abstracts = abstracts.withColumn("project_title", F.lit("small"))
     result, _ = metrics({"PRJ": grants["PRJ"], "PRJABS": abstracts})
-    assert "PROJECT_NUMBER_abs" in result.columns
+    assert {"PROJECT_NUMBER_abs", "project_title_abs"} <= set(result.columns)
     assert result.filter("APPLICATION_ID = '2'").first().PROJECT_NUMBER == "P1"
 
 
@@ -380,6 +382,23 @@ def test_large_files_are_read_by_record(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("multi_line", [None, True])
+@pytest.mark.parametrize("seed", [11, 12])
+def test_csv_rows_agree_with_pandas(spark, tmp_path, seed, multi_line):
+    lines = _span_lines(random.Random(seed), 1)
+    lines.insert(1, "0,first,row")  # the first row decides how many cells pandas expects
+    _write(tmp_path / "S" / "a.csv", ("\n".join(lines) + "\n").encode("latin1"))
+    files = cs.inspect_files(
+        spark, cs.list_folders(spark, str(tmp_path), ["S"]), multi_line=multi_line
+    )
+    theirs = pd.read_csv(
+        tmp_path / "S" / "a.csv", encoding="latin1", on_bad_lines="skip", dtype=str
+    ).astype(object)
+    expected = {tuple(None if pd.isna(v) else v for v in row) for row in theirs.values}
+    assert len(expected) > 30
+    assert _rows(cs.read_source(spark, files)) == expected
+
+
 def test_header_cleanup():
     assert cs.clean_header(["A", "A", "B", None]) == ("A", "A.1", "B", "Unnamed: 3")
     assert cs.clean_header(['ï»¿"X"', "﻿Y", '"Z"']) == ("X", "Y", "Z")
