@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grantweave.llm.exact_dedup import exact_duplicates
+from grantweave.llm.packing import packed
 from grantweave.llm.quality import quality_rules
 from grantweave.llm.tables import table
 
@@ -21,7 +22,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op8_exact_dedup)}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
+ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op8_exact_dedup, op10_packing)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""
