@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from grantweave.llm.exact_dedup import exact_duplicates
 from grantweave.llm.packing import packed
 from grantweave.llm.quality import quality_rules
+from grantweave.llm.substring_dedup import repeated_passages
 from grantweave.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +23,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op8_exact_dedup, op10_packing)}
+ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op8_exact_dedup, op9_substring_dedup, op10_packing)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""
