@@ -20,13 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from grantweave.llm.tables import SPACE, stored, text_or_empty
+from grantweave.llm.tables import HOT_ROWS, HOT_SHARE, SPACE, join_groups, stored, text_or_empty
 
 #: characters of a block
 BLOCK_CHARS = 4096
-#: a bucket with at least this share of the rows of a level, and this many rows, is hot
-HOT_SHARE = 1 / 500
-HOT_ROWS = 200
 #: a name is the hash bucket in the high bits and the rank in the bucket in the low ones
 BUCKET_BITS = 36
 RANK_BITS = 63 - BUCKET_BITS
@@ -144,13 +141,7 @@ def exact_duplicates(
         rows.groupBy(*key).agg(F.min(order).alias("_best"), F.count(F.lit(1)).alias("group_size")),
         "groups",
     ).select(*key, F.col("_best.doc_id").alias("keep_id"), F.col("_best.row_id").alias("_row"), "group_size")
-    total = groups.agg(F.sum("group_size")).first()[0] or 0
-    large = F.col("group_size") >= max(HOT_ROWS, total * HOT_SHARE)
-    few = F.broadcast(groups.filter(large))
-    joined = rows.join(few, key).unionByName(
-        rows.join(few.select(*key), key, "left_anti").join(groups.filter(~large), key)
-    )
-    return joined.select(
+    return join_groups(rows, groups, key, "group_size").select(
         F.col("doc_id").alias(id_column),
         "keep_id",
         "group_size",

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from grantweave.llm.exact_dedup import exact_duplicates
+from grantweave.llm.jaccard_join import jaccard_components
 from grantweave.llm.packing import packed
 from grantweave.llm.quality import quality_rules
 from grantweave.llm.substring_dedup import repeated_passages
@@ -19,6 +20,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,7 +36,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op8_exact_dedup, op9_substring_dedup, op10_packing)}
+ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op4_jaccard_join, op8_exact_dedup, op9_substring_dedup, op10_packing)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""

@@ -30,3 +30,22 @@ def parts_for(df: DataFrame, bytes_per_part: int = 16 * 1024 * 1024) -> int:
     """Partitions for a shuffle of what ``df`` reads, in proportion to its size."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return max(cores, -(-input_bytes(df) // bytes_per_part))
+
+
+#: a group with at least this share of all rows, and this many, is joined by broadcast
+HOT_SHARE = 1 / 500
+HOT_ROWS = 200
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of their group; ``groups`` is stored and has one row per key.
+
+    ``size`` names the column with the rows of each group. Large groups, at most ``1 / HOT_SHARE`` of
+    them, are broadcast, so their rows stay where they are; the rest meet in a shuffle.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) >= max(HOT_ROWS, total * HOT_SHARE)
+    few = F.broadcast(groups.filter(large))
+    return rows.join(few, key).unionByName(
+        rows.join(few.select(*key), key, "left_anti").join(groups.filter(~large), key)
+    )
