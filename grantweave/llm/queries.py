@@ -5,17 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from grantweave.llm.exact_dedup import exact_duplicates
+from grantweave.llm.html_template import extracted
 from grantweave.llm.jaccard_join import jaccard_components
 from grantweave.llm.packing import packed
 from grantweave.llm.quality import quality_rules
 from grantweave.llm.substring_dedup import repeated_passages
 from grantweave.llm.tables import table
+from grantweave.llm.toxicity import scored, trained
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labelled rows of folds 1 to 4 and scores all rows; fold 0 is held out."""
+    documents = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    labels = table(spark, sf_dir, "labels").filter(fold != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = documents.filter(fold != 0).select("doc_id", "text").join(labels, "doc_id")
+    model = trained(labelled, "text", "toxic", "doc_id")
+    return scored(documents, model).withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -24,6 +37,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-ALL: dict[str, Query] = {f.__name__: f for f in (op2_quality_rules, op4_jaccard_join, op8_exact_dedup, op9_substring_dedup, op10_packing)}
+ALL: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_quality_rules, op4_jaccard_join, op6_html_extraction, op8_exact_dedup, op9_substring_dedup, op10_packing)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": r"""
