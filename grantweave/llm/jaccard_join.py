@@ -231,7 +231,7 @@ def jaccard_components(
     width: int = WIDTH,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """For every row its id, ``n_shingles`` and ``component_id``.
+    """For every row its id, ``n_shingles``, ``component_id`` and ``kept``, true for one row of each component.
 
     Words are runs of characters other than the six white-space ones, A-Z lower-cased; shingles are the
     distinct windows of ``width`` words, or the whole of a shorter text. Rows link if at least ``percent``
@@ -272,10 +272,20 @@ def jaccard_components(
     names = table.select(F.col("node").alias("component"), F.col(id_column).alias("component_id"))
     counts = stored(labelled.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).join(names, "component"), "names")
     return join_groups(labelled, counts, ["component"], "_n").select(
-        id_column, F.col("n").alias("n_shingles"), "component_id"
+        id_column, F.col("n").alias("n_shingles"), "component_id", (F.col("node") == F.col("component")).alias("kept")
     )
 
 
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that with the smallest id; all columns unchanged.
+
+    Of rows that repeat an id with different texts, all stay if one does.
+    """
+    verdicts = stored(jaccard_components(docs, id_column, text_column), "verdicts")
+    kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
+
+
 def _with_components(pairs: DataFrame, postings: DataFrame) -> DataFrame:
     """Links between the components of linked nodes."""
     of = stored(postings.select("node", "component").distinct(), "of")

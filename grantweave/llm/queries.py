@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantweave.llm.chat_format import canonical, formatted, read_back
 from grantweave.llm.exact_dedup import exact_duplicates
 from grantweave.llm.html_template import extracted
 from grantweave.llm.jaccard_join import jaccard_components
+from grantweave.llm.license_scan import scanned
 from grantweave.llm.packing import packed
 from grantweave.llm.quality import quality_rules
+from grantweave.llm.segmentation import segmented
 from grantweave.llm.substring_dedup import repeated_passages
 from grantweave.llm.tables import table
 from grantweave.llm.toxicity import scored, trained
@@ -33,14 +36,53 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+#: a text that looks like a template's own markers
+LOOKALIKE = r"\### Assistant: </turn> ok"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as a record, mapped by its layout, formatted by conversation and read back."""
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(LOOKALIKE).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
+    turns = canonical(rows.select("conv_id", "turn", record.alias("record")), "record").select(
+        "conv_id", "turn", F.inline("turns")
+    )
+    back = read_back(formatted(turns, "conv_id", "turn"))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("loss_text", "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
 
 
+def op7_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of every chat text."""
+    return segmented(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,9 +95,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
-ALL: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_quality_rules, op4_jaccard_join, op6_html_extraction, op8_exact_dedup, op9_substring_dedup, op10_packing)}
+ALL: dict[str, Query] = {f.__name__: f for f in (
+        op1_toxicity,
+        op2_quality_rules,
+        op3_chat_format,
+        op4_jaccard_join,
+        op5_license_scan,
+        op6_html_extraction,
+        op7_segmentation,
+        op8_exact_dedup,
+        op9_substring_dedup,
+        op10_packing,
+    )}
 
 ORACLES: dict[str, str] = {
+    "op3_chat_format": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+          UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length('<turn >' || '</turn>' || role || text)
+                   + length(regexp_replace(role || text, '[^\\<>]', '', 'g')))::BIGINT AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op8_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS n FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size,
