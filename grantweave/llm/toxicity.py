@@ -11,6 +11,7 @@ the driver or is broadcast is a vector of fixed length. Every text is then score
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,12 +105,14 @@ VECTOR = T.StructType([T.StructField("vector", T.BinaryType())])
 
 
 def _tasks(sample: DataFrame, fn) -> list[np.ndarray]:
-    """One vector of fixed length from each task; ``fn`` takes its texts and labels."""
+    """One vector of fixed length from each task that has rows; ``fn`` takes their texts and labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((t.as_py(), y.as_py()) for batch in batches for t, y in zip(batch.column(0), batch.column(1)))
-        vector = fn(rows).astype(np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([vector.tobytes()], pa.binary())], ["vector"])
+        first = next(rows, None)
+        if first is not None:
+            vector = fn(itertools.chain([first], rows)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([vector.tobytes()], pa.binary())], ["vector"])
 
     return [np.frombuffer(r.vector, np.float32) for r in sample.mapInArrow(run, VECTOR).toLocalIterator()]
 
