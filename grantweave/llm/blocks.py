@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from grantweave.llm.tables import parts_for
 
+#: name of the column with a row's block
+BLOCK = "_block_of_ids"
 BLOCK_BYTES = 8 * 1024 * 1024
 #: odd multipliers of window hashes, one row per independent hash
 _multipliers = np.random.default_rng(11).integers(1, 1 << 63, (2, 32), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -35,7 +37,7 @@ MESSAGE_ARROW = pa.schema(
 
 
 def in_blocks(docs: DataFrame, id_column: str) -> tuple[DataFrame, int]:
-    """``docs`` with a column ``_block`` that grows with the id, and the number of blocks.
+    """``docs`` with a column ``BLOCK`` that grows with the id, and the number of blocks.
 
     Null ids count as the largest.
     """
@@ -50,7 +52,7 @@ def in_blocks(docs: DataFrame, id_column: str) -> tuple[DataFrame, int]:
     def block(ids: pd.Series) -> pd.Series:
         return ids.map(lambda i: len(bounds) if pd.isna(i) else bisect.bisect_left(bounds, i)).astype("int64")
 
-    return docs.withColumn("_block", block(F.col(f"`{id_column}`").cast("long"))), len(bounds) + 1
+    return docs.withColumn(BLOCK, block(F.col(f"`{id_column}`").cast("long"))), len(bounds) + 1
 
 
 def words(text: str | None) -> list[bytes]:
@@ -127,7 +129,7 @@ def answers(table: pa.Table, kind: str) -> list[tuple[int, bytes]]:
 
 def send(blocks: DataFrame, fn) -> DataFrame:
     """What each block sends: ``fn`` takes its table."""
-    return blocks.groupBy("_block").applyInArrow(fn, MESSAGE)
+    return blocks.groupBy(BLOCK).applyInArrow(fn, MESSAGE)
 
 
 def answer(sent: DataFrame, fn) -> DataFrame:
@@ -138,7 +140,7 @@ def answer(sent: DataFrame, fn) -> DataFrame:
 def receive(blocks: DataFrame, answered: DataFrame, fn, schema) -> DataFrame:
     """``fn`` takes a block's table and its answers, and gives rows of ``schema``."""
     return (
-        blocks.groupBy("_block")
+        blocks.groupBy(BLOCK)
         .cogroup(answered.groupBy("block"))
         .applyInArrow(fn, schema)
     )

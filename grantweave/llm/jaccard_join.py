@@ -6,14 +6,14 @@ similarity share a shingle among the first few of each (as many as they may diff
 only there are candidates looked for. For a candidate pair the overlap of its segments is counted in each
 fragment by itself, and the partial counts are summed per pair.
 
-The order takes document counts of half of the shingles, those with an even hash, over all documents;
-the other half comes after them, by hash. That is a total order like any other, and half the traffic.
+The order is by document counts over all documents, in classes of an eighth of a power of two, ties by
+hash. Shingles of one document are dropped as soon as that is known; most documents end there.
 
 The result needs components, not all pairs. Sets that are equal are one node. Then, in a few rounds, each
-node is compared with one hub of a shingle that several components share, which joins groups of near
+node is compared with a few hubs of shingles that several components share, which joins groups of near
 copies in a number of comparisons proportional to their members. In the last round every pair of
-nodes from different components that shares a prefix shingle is compared, so no link that could join
-two components is lost.
+nodes from different components that shares a prefix shingle and whose sizes allow it is compared, so no
+link that could join two components is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,9 +35,16 @@ from grantweave.llm.tables import join_groups, stored
 WIDTH = 4
 #: percent of the union that the intersection must have
 PERCENT = 85
-FRAGMENTS = 4
-#: rounds in which a node meets one hub, before the round that compares all that is left
-STAR_ROUNDS = 3
+#: fragments end at these document counts, given as 8 times their binary logarithm: 2, 4 and 16
+PIVOTS = (9, 17, 33)
+FRAGMENTS = len(PIVOTS) + 1
+#: rounds in which a node meets hubs, before the round that compares all that is left; the bands of each, in
+#: which nodes meet whose smallest shingles under this many orders are the same
+STAR_ROUNDS = 2
+BANDS = 8
+BAND_ROWS = 5
+
+_orders = np.random.default_rng(17).integers(1, 1 << 62, STAR_ROUNDS * BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class Shingles:
@@ -61,12 +69,11 @@ class Shingles:
 
 
 class Counted:
-    """The counted half of a block's shingles: short keys, how many documents hold each."""
+    """Short keys of a block's shingles, and how many of its documents hold each."""
 
     def __init__(self, shingles: Shingles, buckets: int):
-        self.counted = (shingles.keys & np.uint64(1)) == 0
-        value = shingles.keys[self.counted]
-        short = (bl.bucket_of(value, buckets) << np.uint64(32)) | ((value >> np.uint64(1)) & np.uint64(0xFFFFFFFF))
+        value = shingles.keys
+        short = (bl.bucket_of(value, buckets) << np.uint64(32)) | (value & np.uint64(0xFFFFFFFF))
         self.keys, self.which, self.counts = np.unique(short, return_inverse=True, return_counts=True)
         self.cuts = bl.cut(self.keys >> np.uint64(32), buckets)
 
@@ -88,9 +95,19 @@ def _counts(table: pa.Table) -> pa.Table:
     return bl.messages(out)
 
 
+def _bands(keys: np.ndarray) -> np.ndarray:
+    """One hash per band of the smallest keys under the band's orders."""
+    least = np.empty(len(_orders), np.uint64)
+    for k, order in enumerate(_orders):
+        least[k] = (keys * order ^ (keys >> np.uint64(29))).min()
+    rows = least.reshape(-1, BAND_ROWS)
+    return bl.mixed(rows @ _orders[:BAND_ROWS] + np.arange(len(rows), dtype=np.uint64)).view(np.int64)
+
+
 def sets(docs: DataFrame, id_column: str, text_column: str, width: int, percent: int) -> DataFrame:
-    """A stored row per input row: ``node`` (grows with the id), the id, ``n``, and for rows that may have
-    a link ``digest`` of the set, ``prefix`` and the ``FRAGMENTS`` segments, else nulls there."""
+    """A stored row per input row: ``node`` (grows with the id), the id, the size ``n`` of its set and ``m``
+    without shingles of one document, and for rows that may have a link ``digest`` of the set, ``prefix`` and the
+    ``FRAGMENTS`` segments, else nulls there."""
     docs = docs.select(id_column, F.col(text_column).cast("string").alias(text_column))
     placed, n_blocks = bl.in_blocks(docs, id_column)
     longs = pa.list_(pa.int64())
@@ -99,7 +116,10 @@ def sets(docs: DataFrame, id_column: str, text_column: str, width: int, percent:
             T.StructField("node", T.LongType()),
             docs.schema[id_column],
             T.StructField("n", T.LongType()),
+            T.StructField("m", T.LongType()),
             T.StructField("digest", T.BinaryType()),
+            T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("n_index", T.LongType()),
             T.StructField("prefix", T.ArrayType(T.LongType())),
             T.StructField("segments", T.ArrayType(T.ArrayType(T.LongType()))),
         ]
@@ -110,7 +130,7 @@ def sets(docs: DataFrame, id_column: str, text_column: str, width: int, percent:
         return text, Shingles(text, width)
 
     def send_counts(table: pa.Table) -> pa.Table:
-        block = table.column("_block")[0].as_py()
+        block = table.column(bl.BLOCK)[0].as_py()
         counted = Counted(shingles_of(table)[1], n_blocks)
         return bl.messages(
             (bucket, block, "count", counted.keys[i:j].astype("<u4").tobytes() + counted.counts[i:j].astype("<u4").tobytes())
@@ -119,7 +139,7 @@ def sets(docs: DataFrame, id_column: str, text_column: str, width: int, percent:
 
     def order(table: pa.Table, replies: pa.Table) -> pa.Table:
         names = schema.names
-        types = [pa.int64(), table.schema.field(id_column).type, pa.int64(), pa.binary(), longs, pa.list_(longs)]
+        types = [pa.int64(), table.schema.field(id_column).type, pa.int64(), pa.int64(), pa.binary(), longs, pa.int64(), longs, pa.list_(longs)]
         if not table.num_rows:
             return pa.table([pa.array([], t) for t in types], names=names)
         text, shingles = shingles_of(table)
@@ -128,33 +148,38 @@ def sets(docs: DataFrame, id_column: str, text_column: str, width: int, percent:
         given = dict(bl.answers(replies, "class"))
         for bucket, i, j in counted.cuts:
             classes[i:j] = np.frombuffer(given[bucket], np.uint8)
-        # The uncounted half is a class of its own, after all others.
-        klass = np.full(len(shingles.keys), 256, np.int64)
-        klass[counted.counted] = classes[counted.which]
+        klass = classes[counted.which]
         in_order = np.lexsort((shingles.keys, klass, shingles.owner))
         keys, klass = shingles.keys[in_order], klass[in_order]
         alone = klass == 0
-        fragment = np.where(klass < 16, 0, np.where(klass < 256, 1, 2 + (keys >> np.uint64(63)).astype(np.int64)))
-        digests, prefixes, segments = [], [], []
+        fragment = np.searchsorted(PIVOTS, klass, "right")
+        digests, bands, indexed, prefixes, segments = [], [], [], [], []
         for size, end in zip(shingles.sizes.tolist(), shingles.ends.tolist()):
             begin = end - size
             head = size - -(-percent * size // 100) + 1 if size else 0
             prefix = keys[begin : begin + head][~alone[begin : begin + head]]
             if not len(prefix):
-                for column in (digests, prefixes, segments):
+                for column in (digests, bands, indexed, prefixes, segments):
                     column.append(None)
                 continue
             own = keys[begin:end].view(np.int64)
             digests.append(xxhash.xxh3_128_digest(np.sort(own).tobytes()))
             prefixes.append(prefix.view(np.int64))
+            # In the smaller set of a pair, a shared shingle stands before this.
+            short = size - -(-2 * percent * size // (100 + percent)) + 1
+            indexed.append(int((~alone[begin : begin + short]).sum()))
             used = ~alone[begin:end]
+            bands.append(_bands(keys[begin:end][used]))
             segments.append([own[used & (fragment[begin:end] == f)] for f in range(FRAGMENTS)])
-        block = table.column("_block")[0].as_py()
+        block = table.column(bl.BLOCK)[0].as_py()
         columns = [
             (block << 32) + np.arange(table.num_rows),
             table.column(id_column).take(pa.array(text.order)),
             shingles.sizes,
+            shingles.sizes - np.bincount(shingles.owner[in_order][alone], minlength=table.num_rows),
             digests,
+            bands,
+            indexed,
             prefixes,
             segments,
         ]
@@ -183,45 +208,74 @@ def _alike(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return summed.filter(100 * F.col("_both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("_both"))).select("a", "b")
 
 
-def _fits(percent: int):
-    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+def _fits(percent: int, a: str = "a", b: str = "b") -> Column:
+    """Whether two sets can be similar enough, by their sizes with and without shingles that nobody shares."""
+    n_a, n_b, most = F.col(f"n_{a}"), F.col(f"n_{b}"), F.least(f"m_{a}", f"m_{b}")
+    return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & (100 * most >= percent * (n_a + n_b - most))
 
 
 def _between(postings: DataFrame) -> DataFrame:
-    """Postings of the tokens that more than one component holds."""
+    """Postings of the tokens that more than one component holds, one of them near its front."""
     split = postings.groupBy("token").agg(
-        F.min("component").alias("_least"), F.max("component").alias("_most"), F.count(F.lit(1)).alias("_n")
+        F.min("component").alias("_least"), F.max("component").alias("_most"), F.max("index").alias("_index"), F.count(F.lit(1)).alias("_n")
     )
-    split = stored(split.filter("_least < _most").select("token", "_n"), "tokens")
+    split = stored(split.filter("_least < _most and _index").select("token", "_n"), "tokens")
     return stored(join_groups(postings, split, ["token"], "_n").drop("_n"), "postings")
 
 
-def _hub_pairs(postings: DataFrame, percent: int, seed: int) -> DataFrame:
-    """Each node with the hub that most of its tokens name; a hub is drawn by hash per token and size."""
+def _hub_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """Each node with the hub of each of its bands, where that is of another component.
+
+    ``nodes`` has ``node``, ``n``, ``m``, ``component`` and ``bands``. The hub of a band and size class is the node with
+    fewest shingles of its own, so a band of any size costs one pair per node.
+    """
     step = -math.log(percent / 100)
-    sized = postings.withColumn("_size", F.floor(F.log("n") / step))
-    draw = F.struct(F.xxhash64("token", "node", F.lit(seed)).alias("h"), F.col("node").alias("hub"), "component")
+    sized = stored(
+        nodes.select("node", "n", "m", "component", F.floor(F.log("n") / step).alias("_size"), F.explode("bands").alias("band")),
+        "bands",
+    )
+    draw = F.struct(
+        (F.col("n") - F.col("m")).alias("h"),
+        F.col("node").alias("b"),
+        F.col("component").alias("_other"),
+        F.col("n").alias("n_b"),
+        F.col("m").alias("m_b"),
+    )
     hubs = stored(
-        sized.groupBy("token", "_size").agg(F.min(draw).alias("_hub"), F.count(F.lit(1)).alias("_n")), "hubs"
-    ).select("token", "_size", "_n", F.col("_hub.hub").alias("_hub"), F.col("_hub.component").alias("_other"))
-    named = join_groups(sized, hubs.filter("_n > 1"), ["token", "_size"], "_n").filter("component != _other")
-    votes = named.groupBy("node", "_hub").agg(F.count(F.lit(1)).alias("_votes"))
-    best = votes.groupBy("node").agg(F.max(F.struct("_votes", "_hub"))["_hub"].alias("_hub"))
-    return best.select(F.least("node", "_hub").alias("a"), F.greatest("node", "_hub").alias("b")).distinct()
+        sized.groupBy("band", "_size").agg(F.min(draw).alias("_hub"), F.count(F.lit(1)).alias("_n")), "hubs"
+    ).filter("_n > 1").select("band", "_size", "_n", "_hub.*").drop("h")
+    named = join_groups(sized, hubs, ["band", "_size"], "_n").withColumnsRenamed({"node": "a", "n": "n_a", "m": "m_a"})
+    found = named.filter((F.col("component") != F.col("_other")) & _fits(percent))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Every pair of nodes from different components that shares a token and fits in size."""
-    held = postings.select("token", "component").distinct()
-    crossing = held.withColumnRenamed("component", "_a").join(held.withColumnRenamed("component", "_b"), "token").filter("_a < _b")
-
-    def side(name: str) -> DataFrame:
-        return postings.select(
-            "token", F.col("component").alias(f"_{name}"), F.col("node").alias(name), F.col("n").alias(f"n_{name}")
-        )
+    """Every pair of nodes from different components that shares a token and could be similar.
 
-    pairs = crossing.join(side("a"), ["token", "_a"]).join(side("b"), ["token", "_b"]).filter(_fits(percent))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    The smaller set has the token in the part of its prefix marked ``index``. Components meet before their nodes
+    do, with the extreme sizes of their nodes on the token, so the nodes of one component never do.
+    """
+    def side(table: DataFrame, name: str) -> DataFrame:
+        return table.select("token", *[F.col(c).alias(f"{c}_{name}") for c in table.columns if c != "token"])
+
+    front = postings.filter("index").drop("index")
+    sizes = [F.min("n").alias("n"), F.max("n").alias("_most"), F.max("m").alias("m")]
+    a = side(front.groupBy("token", "component").agg(*sizes), "a")
+    b = side(postings.groupBy("token", "component").agg(*sizes), "b")
+    shared = F.least("m_a", "m_b")
+    may = (
+        (F.col("component_a") != F.col("component_b"))
+        & (F.col("n_a") <= F.col("_most_b"))
+        & (100 * F.col("_most_a") >= percent * F.col("n_b"))
+        & (100 * shared >= percent * (F.col("n_a") + F.greatest("n_a", "n_b") - shared))
+    )
+    crossing = a.join(b, (a["token"] == b["token"]) & may).select(a["token"], "component_a", "component_b")
+    pairs = (
+        crossing.join(side(front, "a"), ["token", "component_a"])
+        .join(side(postings.drop("index"), "b"), ["token", "component_b"])
+        .filter(_fits(percent) & (F.col("n_a") <= F.col("n_b")))
+    )
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def jaccard_components(
@@ -249,22 +303,17 @@ def jaccard_components(
     ).filter("a != b")
     reps = able.join(copies.select(F.col("rep").alias("node")), "node", "left_semi")
     parts = reps.select("node", "n", F.posexplode("segments").alias("fragment", "segment")).filter(F.size("segment") > 0)
-    postings = stored(
-        reps.select("node", "n", F.col("node").alias("component"), F.explode("prefix").alias("token")), "postings"
-    )
-    for turn in range(STAR_ROUNDS + 1):
-        postings = _between(postings)
-        if turn < STAR_ROUNDS:
-            pairs = _hub_pairs(postings, percent, turn)
-        else:
-            pairs = _all_pairs(postings, percent)
-        found = stored(_alike(stored(pairs, "pairs"), parts, percent), "links")
+    prefixes = reps.select("node", "n_index", F.posexplode("prefix").alias("at", "token"))
+    prefixes = prefixes.select("node", "token", (F.col("at") < F.col("n_index")).alias("index"))
+    nodes = reps.select("node", "n", "m", F.col("node").alias("component"), "bands")
+    for turn in range(STAR_ROUNDS):
+        some = nodes.withColumn("bands", F.slice("bands", turn * BANDS + 1, BANDS))
+        found = stored(_alike(stored(_hub_pairs(some, percent), "pairs"), parts, percent), "links")
         links = links.unionByName(found)
-        if turn < STAR_ROUNDS:
-            joined = components(
-                _with_components(found, postings), "a", "b"
-            )
-            postings = _relabelled(postings, joined)
+        nodes = _relabelled(nodes, components(links, "a", "b"))
+    postings = stored(nodes.drop("bands").join(prefixes, "node"), "postings")
+    pairs = _all_pairs(_between(postings), percent)
+    links = links.unionByName(stored(_alike(stored(pairs, "pairs"), parts, percent), "links"))
     labels = components(stored(links, "links"), "a", "b")
     labelled = table.select("node", id_column, "n").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
@@ -286,16 +335,18 @@ def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
     return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
-def _with_components(pairs: DataFrame, postings: DataFrame) -> DataFrame:
-    """Links between the components of linked nodes."""
-    of = stored(postings.select("node", "component").distinct(), "of")
-    return (
-        pairs.join(of.toDF("a", "_a"), "a").join(of.toDF("b", "_b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+def _relabelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    found = labels.withColumnRenamed("component", "_to")
+    return stored(
+        nodes.join(found, "node", "left").withColumn("component", F.coalesce("_to", "node")).drop("_to"), "nodes"
     )
 
 
-def _relabelled(postings: DataFrame, joined: DataFrame) -> DataFrame:
-    joined = joined.toDF("component", "_to")
-    return postings.join(joined, "component", "left").select(
-        "node", "n", F.coalesce("_to", "component").alias("component"), "token"
-    )
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that with the smallest id; all columns unchanged.
+
+    Of rows that repeat an id with different texts, all stay if one does.
+    """
+    verdicts = stored(jaccard_components(docs, id_column, text_column), "verdicts")
+    kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")

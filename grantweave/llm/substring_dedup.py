@@ -120,7 +120,7 @@ def _marked(docs: DataFrame, id_column: str, text_column: str, finish, schema) -
         return bl.BlockText(table.column(id_column), table.column(text_column))
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        block = table.column("_block")[0].as_py()
+        block = table.column(bl.BLOCK)[0].as_py()
         anchors = Anchors(text_of(table), buckets)
         return bl.messages(
             (bucket, block, "anchor", anchors.keys[i:j].astype("<u4").tobytes()) for bucket, i, j in anchors.cuts
@@ -129,7 +129,7 @@ def _marked(docs: DataFrame, id_column: str, text_column: str, finish, schema) -
     def send_windows(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return bl.messages([])
-        block = table.column("_block")[0].as_py()
+        block = table.column(bl.BLOCK)[0].as_py()
         given = bl.answers(replies, "anchor")
         anchors = Anchors(text_of(table), buckets)
         windows = Windows(anchors, anchors.shared(given), buckets)
@@ -214,7 +214,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         for k, i in enumerate(text.order.tolist()):
             if removed[text.starts[k] : text.starts[k + 1]].any():
                 new[i] = _kept(text, removed, k, bl.words(new[i])).decode("utf-8", "surrogatepass")
-        table = table.drop_columns("_block")
+        table = table.drop_columns(bl.BLOCK)
         at = table.schema.get_field_index(text_column)
         return table.set_column(at, text_column, pa.array(new, pa.string()))
 

@@ -26,10 +26,18 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+#: Spark's estimate for a table that is not read from files, and the rows counted as one part of such a table
+UNKNOWN_BYTES = 1 << 60
+ROWS_PER_PART = 4_000
+
+
 def parts_for(df: DataFrame, bytes_per_part: int = 16 * 1024 * 1024) -> int:
     """Partitions for a shuffle of what ``df`` reads, in proportion to its size."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(cores, -(-input_bytes(df) // bytes_per_part))
+    size = input_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        return max(cores, -(-df.count() // ROWS_PER_PART))
+    return max(cores, -(-size // bytes_per_part))
 
 
 #: a group with at least this share of all rows, and this many, is joined by broadcast
