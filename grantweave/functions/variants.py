@@ -18,7 +18,8 @@ def variant_terms(keyword: Column) -> Column:
     The keyword itself, its plural, its form without the possessive apostrophe, its
     hyphen-free form and plural, and the regular plural of its punctuation-free form.
     """
-    bare = F.regexp_replace(keyword, r"[^\w\s]", "")
+    # Letters and digits of any script count as word characters.
+    bare = F.regexp_replace(keyword, r"(?U)[^\w\s]", "")
     spaced = F.replace(keyword, F.lit("-"), F.lit(" "))
     has_hyphen = keyword.contains("-")
     takes_ies = bare.endswith("y") & ~_ends_with_any(bare, ("ay", "ey", "oy", "uy"))
@@ -30,7 +31,8 @@ def variant_terms(keyword: Column) -> Column:
         F.when(keyword.contains("'s"), F.replace(keyword, F.lit("'s"), F.lit("s"))),
         F.when(has_hyphen, spaced),
         F.when(has_hyphen, F.concat(spaced, F.lit("s"))),
-        F.when(takes_ies, F.regexp_replace(bare, "y$", "ies"))
+        F.when(F.trim(bare) == "", F.lit(None))
+        .when(takes_ies, F.regexp_replace(bare, "y$", "ies"))
         .when(takes_es, F.concat(bare, F.lit("es")))
         .otherwise(F.concat(bare, F.lit("s"))),
     )

@@ -2,7 +2,8 @@
 
 Two plans give the same hits. A dictionary of up to a few thousand terms becomes one regular
 expression, evaluated row by row with no shuffle. A table-sized dictionary is joined to the word
-sequences of the text.
+sequences of the text. Hits depend on the text alone, so that join works on distinct texts, named by a
+digest, and rows need no id of their own. Terms are matched in lower case, as texts are.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from grantweave.functions.pattern import term_pattern
 from grantweave.functions.text import concat_text
 from grantweave.operators.skew import DEFAULT_POLICY, SkewPolicy, balanced_join
 from grantweave.operators.terms import pattern_terms, term_pool
+from grantweave.session import scratch_path
+from grantweave.sources.tables import write_table
 
 COUNT_COLUMNS = ["total_count", "total_unique_count", "flagged"]
 
@@ -26,6 +29,7 @@ MAX_BROADCAST_CHARS = 64 * 1024**2
 
 _TOKENS = r"(?s)[A-Za-z0-9_]+|[^A-Za-z0-9_]"
 _WORD = "^[A-Za-z0-9_]"
+_DIGEST = "_text_digest"
 
 
 def _hit_columns(hits: Column) -> list[Column]:
@@ -112,7 +116,6 @@ def _without_overlaps(spans: Column) -> Column:
 
 def match_join(
     df: DataFrame,
-    id_column: str,
     text: Column,
     terms: DataFrame,
     max_broadcast_chars: int = MAX_BROADCAST_CHARS,
@@ -120,10 +123,11 @@ def match_join(
 ) -> DataFrame:
     """``df`` plus the three count columns, by a join with a ``term`` table.
 
-    ``id_column`` must identify rows. The dictionary is broadcast only when its measured size
+    Equal texts are matched once. The dictionary is stored once, and broadcast only when its measured size
     allows; a larger one meets the text in a shuffled join that splits frequent terms.
     """
-    dictionary = _tokenised_terms(terms)
+    spark = df.sparkSession
+    dictionary = write_table(_tokenised_terms(terms), scratch_path(spark, "dictionary"))
     size = dictionary.agg(
         F.sum(F.length("term")).alias("chars"),
         F.bool_or(~F.col("head").rlike(_WORD)).alias("odd_heads"),
@@ -133,7 +137,10 @@ def match_join(
         empty = F.expr("cast(array() as array<string>)")
         return df.select("*", *_hit_columns(empty))
 
-    places = _places(df, id_column, text)
+    keyed = df.withColumn(_DIGEST, F.sha2(text, 256))
+    texts = df.select(F.sha2(text, 256).alias(_DIGEST), text.alias("_text")).filter("_text != ''")
+    texts = texts.dropDuplicates([_DIGEST])
+    places = _places(texts, _DIGEST, F.col("_text"))
     lookup = dictionary.select("term", F.lit(True).alias("_known"))
     if size.chars <= max_broadcast_chars:
         heads = dictionary.groupBy("head").agg(F.collect_set("tokens").alias("lengths"))
@@ -153,10 +160,11 @@ def match_join(
     hits = (
         spans.groupBy("_id")
         .agg(F.collect_list(F.struct("pos", (-F.col("n")).alias("neg"), "term")).alias("spans"))
-        .select("_id", _without_overlaps(F.col("spans")).alias("_hits"))
+        .select(F.col("_id").alias(_DIGEST), _without_overlaps(F.col("spans")).alias("_hits"))
     )
     empty = F.expr("cast(array() as array<string>)")
-    return df.join(hits, F.col(f"`{id_column}`") == F.col("_id"), "left").select(
+    # A boilerplate text can hold many rows, so its digest can be a hot key.
+    return balanced_join(keyed, hits, [_DIGEST], "left", right_unique=True, policy=policy).select(
         *[F.col(f"`{c}`") for c in df.columns], *_hit_columns(F.coalesce(F.col("_hits"), empty))
     )
 
@@ -169,7 +177,6 @@ def enrich(
     df: DataFrame,
     text_columns: Sequence[str],
     terms: DataFrame,
-    id_column: str | None = None,
     fold_text: bool = False,
     max_pattern_terms: int = MAX_PATTERN_TERMS,
 ) -> DataFrame:
@@ -184,6 +191,4 @@ def enrich(
     listed = pattern_terms(terms, max_pattern_terms)
     if listed is not None:
         return match_regex(df, text, listed)
-    if id_column is None:
-        raise ValueError("a dictionary this large is matched by join and needs id_column")
-    return match_join(df, id_column, text, terms)
+    return match_join(df, text, terms)

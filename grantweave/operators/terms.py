@@ -52,8 +52,8 @@ def expand_terms(keywords: DataFrame, stopwords: DataFrame | None = None) -> Dat
 
 
 def term_pool(terms: DataFrame) -> DataFrame:
-    """The terms of all categories, each once."""
-    return terms.select("term").distinct()
+    """The terms of all categories in lower case, each once."""
+    return terms.select(F.lower("term").alias("term")).distinct()
 
 
 def dictionary_stats(terms: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from grantweave.operators import stats
 from grantweave.operators.duplicates import count_copies, duplicate_totals
 from grantweave.operators.link import link_audit, suffix_collisions, with_normal_key
 from grantweave.operators.match import (
-    MAX_PATTERN_TERMS,
     enrich,
     present_columns,
 )
@@ -34,7 +33,6 @@ from grantweave.operators.terms import (
     english_stopwords,
     expand_terms,
     keyword_table,
-    pattern_terms,
 )
 from grantweave.plans.config import DEFAULT_CONFIG, EXPORT_NAMES, OUTCOMES, StageConfig
 from grantweave.plans.summaries import assemble, row_list, row_struct
@@ -191,14 +189,13 @@ def keywords(
     config: StageConfig = DEFAULT_CONFIG,
     output: str | None = None,
     terms: DataFrame | None = None,
-    id_column: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows with hit counts and flagged terms. Without any text column: input and no summary."""
     used = present_columns(df, config.text_columns)
     if not used:
         return df, None
     terms = config_terms(df.sparkSession, config) if terms is None else terms
-    table = enrich(df, used, terms, id_column, config.fold_text)
+    table = enrich(df, used, terms, config.fold_text)
     if output:
         table = write_table(table, output)
     sections = {
@@ -210,10 +207,8 @@ def keywords(
         ),
         "output_dimensions": row_struct(stats.dimensions(table)),
     }
-    # The summary lists a dictionary of pattern size; a table-sized one stays a table.
-    if pattern_terms(terms, MAX_PATTERN_TERMS) is not None:
-        listed = terms.groupBy("category").agg(F.array_sort(F.collect_set("term")).alias("terms"))
-        sections["terms_used"] = row_list(listed, "category")
+    listed = terms.groupBy("category").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    sections["terms_used"] = row_list(listed, "category")
     return table, assemble(sections)
 
 

@@ -505,7 +505,7 @@ def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_hits_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     return _hit_output(
-        match.match_join(documents, "doc_id", concat_text(["text"]), _term_table(spark))
+        match.match_join(documents, concat_text(["text"]), _term_table(spark))
     )
 
 
@@ -515,9 +515,7 @@ def data_dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").withColumn(
         "turn_id", F.concat_ws(":", "conv_id", "turn")
     )
-    return match.match_join(
-        spread(turns, "turn_id"), "turn_id", concat_text(["text"]), terms
-    ).select("turn_id", "total_count", "total_unique_count")
+    return match.match_join(spread(turns, "turn_id"), concat_text(["text"]), terms).select("turn_id", "total_count", "total_unique_count")
 
 
 def hits_folded(spark: SparkSession, sf_dir: str) -> DataFrame:

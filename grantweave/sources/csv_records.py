@@ -64,11 +64,13 @@ def with_record_start(lines: DataFrame) -> DataFrame:
     started = (
         lines.join(inside, ["path", "split"])
         .withColumn("first", F.when(open_quotes % 2 == 0, F.col("id")))
+        # Blank lines before the header are not the header.
+        .withColumn("text_first", F.when(~F.col("line").rlike(r"^\s*$"), F.col("first")))
         .withColumn("start", F.last("first", ignorenulls=True).over(so_far))
     )
     # A record may begin in an earlier split: again one row per split.
     last_starts = started.groupBy("path", "split").agg(
-        F.max("first").alias("last_start"), F.min("first").alias("first_start")
+        F.max("first").alias("last_start"), F.min("text_first").alias("first_start")
     )
     carried = last_starts.select(
         "path",
@@ -79,7 +81,7 @@ def with_record_start(lines: DataFrame) -> DataFrame:
     return (
         started.join(carried, ["path", "split"])
         .withColumn("start", F.coalesce("start", "carried"))
-        .filter(F.col("start") != F.col("header"))
+        .filter(F.col("header").isNull() | (F.col("start") != F.col("header")))
         .select("path", "start", "id", "line", "odd")
     )
 
@@ -110,7 +112,7 @@ def assemble_records(started: DataFrame) -> DataFrame:
         record.endswith("\r"), F.rtrim(F.replace(record, F.lit("\r\n"), F.lit("\n")), F.lit("\r"))
     ).otherwise(record)
     return (
-        records.unionByName(spanning).select("path", unix.alias("record")).filter("record != ''")
+        records.unionByName(spanning).select("path", unix.alias("record")).filter(~F.col("record").rlike(r"^\s*$"))
     )
 
 

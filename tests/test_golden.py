@@ -231,16 +231,39 @@ def test_match_by_pattern(sample_texts, sample_terms):
 @pytest.mark.parametrize("limit", [10**6, 0], ids=["broadcast", "shuffled"])
 def test_match_by_join(sample_texts, sample_terms, limit):
     _check_hits(
-        match.match_join(
-            sample_texts, "id", concat_text(["text"]), sample_terms, max_broadcast_chars=limit
-        )
+        match.match_join(sample_texts, concat_text(["text"]), sample_terms, max_broadcast_chars=limit)
     )
 
 
-def test_large_dictionary_takes_the_join(sample_texts, sample_terms):
-    _check_hits(match.enrich(sample_texts, ["text"], sample_terms, "id", max_pattern_terms=3))
-    with pytest.raises(ValueError, match="id_column"):
-        match.enrich(sample_texts, ["text"], sample_terms, max_pattern_terms=3)
+@pytest.mark.parametrize("above", [-1, 0, 1])
+def test_dictionary_size_changes_nothing(sample_texts, sample_terms, above):
+    limit = sample_terms.select("term").distinct().count() + above
+    _check_hits(match.enrich(sample_texts, ["text"], sample_terms, max_pattern_terms=limit))
+
+
+def test_repeated_ids_and_texts(spark):
+    rows = [(1, "gene x"), (1, "y gene gene"), (2, "gene x"), (None, None), (3, "")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    terms = spark.createDataFrame([("GENE",), ("gene",)], "term string")
+    expected = sorted([(1, 1), (1, 2), (2, 1), (None, 0), (3, 0)], key=str)
+    for limit in (0, 10):
+        found = match.enrich(df, ["text"], terms, max_pattern_terms=limit).collect()
+        assert sorted([(r.id, r.total_count) for r in found], key=str) == expected
+
+
+@pytest.mark.parametrize(
+    "keyword, expected",
+    [
+        ("болезнь", {"болезнь", "болезньs"}),
+        ("病気", {"病気", "病気s"}),
+        ("™", {"™", "™s"}),
+        ("ά-synuclein", {"ά-synuclein", "ά-synucleins", "ά synuclein", "ά synucleins", "άsynucleins"}),
+        ("---", {"---", "---s", "   ", "   s"}),
+    ],
+)
+def test_keywords_beyond_latin(spark, keyword, expected):
+    found = spark.createDataFrame([(keyword,)], "k string").select(variant_terms(F.col("k"))).first()[0]
+    assert set(found) == expected and "s" not in found
 
 
 def test_folded_text(sample_texts, sample_terms):
@@ -258,7 +281,7 @@ def test_empty_dictionary(spark, sample_texts):
     nothing = spark.createDataFrame([], "category string, term string")
     for df in (
         match.enrich(sample_texts, ["text"], nothing),
-        match.match_join(sample_texts, "id", concat_text(["text"]), nothing),
+        match.match_join(sample_texts, concat_text(["text"]), nothing),
     ):
         assert df.agg(F.sum("total_count")).first()[0] == 0
         assert df.count() == len(TEXTS)
@@ -270,7 +293,7 @@ def test_terms_with_regex_characters(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     table = spark.createDataFrame([(t,) for t in terms], "term string")
     by_regex = match.match_regex(df, F.col("text"), terms)
-    by_join = match.match_join(df, "id", F.col("text"), table)
+    by_join = match.match_join(df, F.col("text"), table)
     expected = [["c++", "c"], ["a.b"], ["(x)", "[y]", "p^q"], ["a-b", "a|b", "$1"], ["c"]]
     assert [r.flagged for r in by_regex.orderBy("id").collect()] == expected
     assert [r.flagged for r in by_join.orderBy("id").collect()] == expected

@@ -156,7 +156,7 @@ def test_match_plans_equal_brute_force(spark, texts, terms):
     table = spark.createDataFrame([(t,) for t in terms], "term string")
     expected = [_brute_force(t, terms) for t in texts]
     by_regex = match.match_regex(df, F.col("text"), terms).orderBy("id").collect()
-    by_join = match.match_join(df, "id", F.col("text"), table).orderBy("id").collect()
+    by_join = match.match_join(df, F.col("text"), table).orderBy("id").collect()
     for rows in (by_regex, by_join):
         assert [r.total_count for r in rows] == [len(e) for e in expected]
         assert [r.flagged for r in rows] == [list(dict.fromkeys(e)) for e in expected]
@@ -171,7 +171,7 @@ def test_match_plans_agree_on_documents(spark):
     by_regex = match.match_regex(documents, text, TEXT_TERMS).drop("text")
     for limit in (10**6, 0):
         by_join = match.match_join(
-            documents, "doc_id", text, table, max_broadcast_chars=limit, policy=SALTED
+            documents, text, table, max_broadcast_chars=limit, policy=SALTED
         ).drop("text")
         assert by_join.exceptAll(by_regex).count() == 0
         assert by_regex.exceptAll(by_join).count() == 0
