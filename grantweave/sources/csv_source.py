@@ -10,6 +10,7 @@ import csv
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,14 +84,19 @@ def source_presence(spark: SparkSession, folders: Sequence[SourceFolder]) -> Dat
 
 
 def clean_header(cells: Sequence[str | None]) -> tuple[str, ...]:
-    """Column names without byte-order marks and outer quotes; repeats become ``A, A.1``."""
+    """Column names without byte-order marks and outer quotes; repeats become ``A, A.1``.
+
+    Names that differ only by case repeat each other, as Spark takes them for one column.
+    """
     names: list[str] = []
+    taken: set[str] = set()
     for i, cell in enumerate(cells):
         name = cell or f"Unnamed: {i}"
         copy, n = name, 0
-        while copy in names:
+        while copy.lower() in taken:
             n += 1
             copy = f"{name}.{n}"
+        taken.add(copy.lower())
         names.append(copy)
     cleaned = []
     for name in names:
@@ -129,7 +135,10 @@ def _scan(
     # Spark refuses to count rows by the unparsed line alone, so a data column takes part.
     some_cell = F.length(F.concat_ws("", F.col(f"`{columns[0]}`"))) >= 0
     fits = bad.isNull() | (csv_records.separators(bad) < len(columns))
-    return raw.filter(fits & some_cell).drop(_BAD)
+    # A line of white space alone is a blank line, not a short record.
+    rest = [F.col(f"`{c}`").isNull() for c in columns[1:]]
+    blank = reduce(lambda a, b: a & b, rest, F.coalesce(F.col(f"`{columns[0]}`"), F.lit("x")).rlike(r"^\s+$"))
+    return raw.filter(fits & some_cell & ~blank).drop(_BAD)
 
 
 def _first_lines(spark: SparkSession, path: str) -> list[str]:

@@ -405,6 +405,26 @@ def test_large_files_are_read_by_record(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_blank_lines_in_every_parser(spark, tmp_path, end):
+    """Leading blank lines, a line of spaces and a quoted line break: one answer, whatever reads the file."""
+    lines = ["", "", "K,V", "1,\"a", "b\"", "   ", "2,c", "", "3", "4,d,EXTRA"]
+    _write(tmp_path / "S" / "f.csv", (end.join(lines) + end).encode("latin1"))
+    folders = cs.list_folders(spark, str(tmp_path), ["S"])
+    expected = {("1", "a\nb"), ("2", "c"), ("3", None)}
+    for options in ({"large_file": 0}, {"multi_line": True}, {}):
+        files = cs.inspect_files(spark, folders, **options)
+        rows = {tuple(r) for r in cs.read_source(spark, files).collect()}
+        assert {(k, v and v.replace("\r\n", "\n")) for k, v in rows} == expected, options
+
+
+def test_names_that_differ_by_case(spark, tmp_path):
+    _write(tmp_path / "S" / "f.csv", b"K,k,V\n1,2,3\n")
+    files = cs.inspect_files(spark, cs.list_folders(spark, str(tmp_path), ["S"]))
+    table = cs.read_source(spark, files)
+    assert table.columns == ["K", "k.1", "V"] and tuple(table.first()) == ("1", "2", "3")
+
+
 @pytest.mark.parametrize("multi_line", [None, True])
 @pytest.mark.parametrize("seed", [11, 12])
 def test_csv_rows_agree_with_pandas(spark, tmp_path, seed, multi_line):
