@@ -43,30 +43,41 @@ def with_split_flag(
     )
 
 
-def split_stats(
-    df: DataFrame,
-    cutoff: int,
-    row_id: str | None = None,
-    count_column: str = COUNT_COLUMN,
-) -> DataFrame:
-    """One row: sizes and shares of both sides, and with ``row_id`` their id ranges."""
+def split_totals(
+    cutoff: int, row_id: str | None = None, count_column: str = COUNT_COLUMN
+) -> list[Column]:
+    """The aggregates behind ``split_stats``; they can also be observed while rows are written."""
     count = F.col(f"`{count_column}`").cast("bigint")
     kept, dropped = count >= cutoff, count < cutoff
-
-    def share(n: str) -> Column:
-        return F.round(F.try_divide(F.col(n), F.col("total_input_rows")) * 100, 2)
-
     ranges = []
     if row_id:
         for side, condition in (("retained", kept), ("dropped", dropped)):
             value = F.when(condition, F.col(row_id))
             ranges += [F.min(value).alias(f"{side}_min_id"), F.max(value).alias(f"{side}_max_id")]
-    totals = df.agg(
+    return [
         F.count(F.lit(1)).alias("total_input_rows"),
         F.count_if(kept).alias("total_retained_rows"),
         F.count_if(dropped).alias("total_dropped_rows"),
         *ranges,
-    )
+    ]
+
+
+def split_stats(
+    df: DataFrame,
+    cutoff: int,
+    row_id: str | None = None,
+    count_column: str = COUNT_COLUMN,
+) -> DataFrame:
+    """One row: sizes and shares of both sides, and with ``row_id`` their id ranges."""
+    return with_shares(df.agg(*split_totals(cutoff, row_id, count_column)))
+
+
+def with_shares(totals: DataFrame) -> DataFrame:
+    """The row of ``split_totals`` with the share of each side."""
+
+    def share(n: str) -> Column:
+        return F.round(F.try_divide(F.col(n), F.col("total_input_rows")) * 100, 2)
+
     return totals.select(
         "total_input_rows",
         "total_retained_rows",

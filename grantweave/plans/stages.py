@@ -27,7 +27,12 @@ from grantweave.operators.outcomes import (
     outcome_pairs,
 )
 from grantweave.operators.skew import DEFAULT_POLICY, SkewPolicy, balanced_join
-from grantweave.operators.split import split_by_cutoff, split_stats, with_split_flag
+from grantweave.operators.split import (
+    split_by_cutoff,
+    split_totals,
+    with_shares,
+    with_split_flag,
+)
 from grantweave.operators.terms import (
     dictionary_stats,
     english_stopwords,
@@ -198,14 +203,19 @@ def keywords(
     table = enrich(df, used, terms, config.fold_text)
     if output:
         table = write_table(table, output)
+    figures = stats.enrichment_stats(table)
+    columns = F.lit(len(table.columns)).cast("bigint")
     sections = {
         "keyword_library": row_list(dictionary_stats(terms), "category"),
         "text_columns_used": df.sparkSession.createDataFrame([(used,)], "value array<string>"),
-        "enrichment_metrics": row_struct(stats.enrichment_stats(table)),
+        "enrichment_metrics": row_struct(figures),
         "top_flagged_terms": row_list(
             stats.top_terms(table), (-F.col("row_count")).alias("n"), "term"
         ),
-        "output_dimensions": row_struct(stats.dimensions(table)),
+        # The same aggregate as above, so its exchange is reused.
+        "output_dimensions": row_struct(
+            figures.select(F.col("total_rows_processed").alias("rows"), columns.alias("columns"))
+        ),
     }
     listed = terms.groupBy("category").agg(F.array_sort(F.collect_set("term")).alias("terms"))
     sections["terms_used"] = row_list(listed, "category")
@@ -220,15 +230,23 @@ def mlexport(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(retained, dropped, summary). With ``output``, both sides are written in one pass."""
     retained, dropped = split_by_cutoff(df, config.cutoff_value, config.ml_columns)
+    totals = split_totals(config.cutoff_value, row_id)
     if output:
-        flagged = with_split_flag(df, config.cutoff_value, config.ml_columns)
+        # The figures are taken while the rows are written, so nothing is matched again for them.
+        seen = Observation()
+        flagged = with_split_flag(df.observe(seen, *totals), config.cutoff_value, config.ml_columns)
         if not config.export_drop_output:
             flagged = flagged.filter("retained")
         stored = write_table(flagged, output, partition_by="retained")
         retained = stored.filter("retained").drop("retained")
         if config.export_drop_output:
             dropped = stored.filter("not retained").drop("retained")
-    figures = split_stats(df, config.cutoff_value, row_id)
+        schema = df.agg(*totals).schema
+        figures = with_shares(
+            df.sparkSession.createDataFrame([tuple(seen.get[name] for name in schema.names)], schema)
+        )
+    else:
+        figures = with_shares(df.agg(*totals))
     exported = F.col("total_dropped_rows") if config.export_drop_output else F.lit(0)
     summary = figures.select(
         F.struct(

@@ -594,3 +594,23 @@ def test_scratch_folder():
     assert shared_dir(session("local[2]", None)) == shared_dir(session("local[2]", None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session("yarn", None))
+
+
+def test_mlexport_summary_does_not_match_again(spark, sample_texts, sample_terms, tmp_path):
+    config = StageConfig(ml_columns=("id", "total_unique_count"), cutoff_value=1)
+    enriched = match.enrich(sample_texts, ["text"], sample_terms)
+    for drop in (True, False):
+        config = StageConfig(ml_columns=("id", "total_unique_count"), cutoff_value=1, export_drop_output=drop)
+        retained, dropped, summary = mlexport(enriched, config, str(tmp_path / str(drop)), row_id="id")
+        plan = summary._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in plan
+        expected = mlexport(enriched, config, row_id="id")
+        assert summary.collect() == expected[2].collect()
+        assert retained.exceptAll(expected[0]).count() == expected[0].exceptAll(retained).count() == 0
+        assert dropped.count() == expected[1].count()
+
+
+def test_keywords_summary_lists_terms_of_any_number(spark, sample_texts):
+    many = spark.range(6_000).select(F.lit("c").alias("category"), F.concat(F.lit("t"), "id").alias("term"))
+    _, summary = keywords(sample_texts, StageConfig(text_columns=("text",)), terms=many)
+    assert len(summary.first().terms_used[0].terms) == 6_000
