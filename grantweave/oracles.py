@@ -193,6 +193,11 @@ def all_sql() -> dict[str, str]:
         "split_write": f"""
             select {_COUNTS}, case when len(u) >= {CUTOFF} then 'retained' else 'dropped' end as side
             from ({_DOC_HITS})""",
+        "split_write_retained": f"""
+            select doc_id, total_count, d.n as total_dropped_rows, 0::bigint as exported_dropped_rows
+            from (select {_COUNTS}, len(u) as kept from ({_DOC_HITS})),
+                (select count_if(len(u) < {CUTOFF})::bigint as n from ({_DOC_HITS})) d
+            where kept >= {CUTOFF}""",
         "summary_json": f"""
             select 'doc_id|total_count|total_unique_count|flagged' as ml_columns_used,
                 {CUTOFF}::bigint as cutoff_value, {_SPLIT}, 4::bigint as total_columns,
@@ -314,6 +319,34 @@ def all_sql() -> dict[str, str]:
             from conversations c left join (
                 select turn_id, count(*) as n, count(distinct w) as u
                 from t where w in (select w from d) group by 1) on turn_id = c.conv_id || ':' || c.turn""",
+        "hits_repeated_ids": r"""
+            with d as (
+                select distinct unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as w
+                from benchmark),
+            t as (
+                select conv_id, turn,
+                    unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as w
+                from conversations),
+            h as (
+                select conv_id, turn, count(*) as n, count(distinct w) as u
+                from t where w in (select w from d) group by 1, 2)
+            select c.conv_id, coalesce(n, 0)::bigint as total_count,
+                coalesce(u, 0)::bigint as total_unique_count
+            from conversations c left join h on h.conv_id = c.conv_id and h.turn = c.turn""",
+        "large_dictionary_hits": r"""
+            with d as (
+                select distinct unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as w
+                from documents),
+            t as (
+                select item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as w
+                from benchmark),
+            h as (
+                select item_id, count(*) as n, count(distinct w) as u
+                from t where w in (select w from d) group by 1)
+            select b.item_id, coalesce(n, 0)::bigint as total_count,
+                coalesce(u, 0)::bigint as total_unique_count
+            from benchmark b left join h using (item_id)""",
+        "no_text_columns": "select doc_id, length(text) as chars from documents",
         "hits_folded": f"""
             select {_COUNTS} from ({_hits("replace(strip_accents(lower(text)), 'ß', 'ss')",
                                           ["le", "eau", "un la"])})""",

@@ -6,6 +6,7 @@ linked rows, ``events``, ``customer`` and ``lineitem`` for outcome links.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -167,6 +168,20 @@ def split_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_write_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only retained rows are stored, and the summary says so."""
+    config = dataclasses.replace(_doc_config(), export_drop_output=False)
+    retained, _, summary = stages.mlexport(
+        _enriched(spark, sf_dir), config, scratch_path(spark, "split")
+    )
+    figures = summary.select(
+        "filter_summary.total_dropped_rows", "output_dimensions.exported_dropped_rows"
+    ).first()
+    return retained.select(
+        "doc_id", "total_count", *[F.lit(v).cast("bigint").alias(k) for k, v in figures.asDict().items()]
+    )
+
+
 def summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, summary = stages.mlexport(_enriched(spark, sf_dir), _doc_config())
     path = scratch_path(spark, "summary")
@@ -515,7 +530,32 @@ def data_dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").withColumn(
         "turn_id", F.concat_ws(":", "conv_id", "turn")
     )
-    return match.match_join(spread(turns, "turn_id"), concat_text(["text"]), terms).select("turn_id", "total_count", "total_unique_count")
+    return match.match_join(spread(turns, "turn_id"), concat_text(["text"]), terms).select(
+        "turn_id", "total_count", "total_unique_count"
+    )
+
+
+def hits_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that share an id, matched by join with a dictionary in upper case."""
+    words = _words(table(spark, sf_dir, "benchmark"), "text")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "text")
+    hits = match.enrich(
+        turns, ["text"], words.select(F.upper("word").alias("term")), max_pattern_terms=0
+    )
+    return hits.select("conv_id", "total_count", "total_unique_count")
+
+
+def large_dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary beyond any pattern: the words of ``documents``, found in ``benchmark``."""
+    words = _words(table(spark, sf_dir, "documents"), "text").withColumnRenamed("word", "term")
+    hits = match.enrich(table(spark, sf_dir, "benchmark"), ["text"], words)
+    return hits.select("item_id", "total_count", "total_unique_count")
+
+
+def no_text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without any of the text columns the stage gives its input back."""
+    same, _ = stages.keywords(_documents(spark, sf_dir), StageConfig(text_columns=("absent",)))
+    return same.select("doc_id", F.length("text").alias("chars"))
 
 
 def hits_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -652,6 +692,7 @@ ALL: dict[str, Query] = {
         snapshot_round_trip,
         csv_export,
         split_write,
+        split_write_retained,
         summary_json,
         rename_columns,
         key_normalize,
@@ -686,6 +727,9 @@ ALL: dict[str, Query] = {
         keyword_hits,
         keyword_hits_join,
         data_dictionary_hits,
+        hits_repeated_ids,
+        large_dictionary_hits,
+        no_text_columns,
         hits_folded,
         enrichment_stats,
         top_terms,
