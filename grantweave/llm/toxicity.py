@@ -134,19 +134,22 @@ class Model:
 
 
 def trained(
-    labelled: DataFrame,
-    text_column: str,
-    label_column: str,
-    key_column: str,
+    texts: DataFrame,
+    labels: DataFrame,
+    key_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "toxic",
     max_rows: int = MAX_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Model:
-    """The model of labelled texts; ``max_rows`` bounds the sample.
+    """The model of the texts that have a label; ``max_rows`` bounds the sample.
 
-    Rows without a label or key are left out; of rows that repeat a key, the largest label counts.
+    The sample is drawn from keys and labels alone, and is small enough to be broadcast, so no text but its own
+    is moved. Rows without a label or key are left out; of rows that repeat a key, the largest label and text count.
     """
     keys = (
-        labelled.filter(F.col(label_column).isNotNull() & F.col(key_column).isNotNull())
+        labels.filter(F.col(label_column).isNotNull() & F.col(key_column).isNotNull())
+        .join(texts.select(key_column), key_column, "left_semi")
         .groupBy(key_column)
         .agg(F.max(label_column).cast("int").alias("_label"))
         .orderBy(F.xxhash64(key_column), key_column)
@@ -155,7 +158,7 @@ def trained(
     keys = stored(keys, "labels")
     parts = max(1, -(-keys.count() // rows_per_task))
     sample = stored(
-        labelled.select(key_column, F.col(text_column).cast("string").alias("_text"))
+        texts.select(key_column, F.col(text_column).cast("string").alias("_text"))
         .join(F.broadcast(keys), key_column)
         .groupBy(key_column)
         .agg(F.max("_text").alias("_text"), F.max("_label").alias("_label"))

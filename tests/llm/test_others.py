@@ -188,13 +188,14 @@ def test_toxicity_held_out(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     learn = table.filter("doc_id % 7 != 0")
     odd = spark.createDataFrame([(None, "wozzle", 1), (5_000, None, 0), (5_001, "x", None), (3, rows[3][1], 0)], table.schema)
-    model = trained(learn.unionByName(odd), "text", "toxic", "doc_id", rows_per_task=400)
+    learn = learn.unionByName(odd)
+    model = trained(learn.drop("toxic"), learn.drop("text"), rows_per_task=400)
     got = scored(table.filter("doc_id % 7 = 0").withColumn("score", F.lit("x")), model).join(table, "doc_id").collect()
     toxic, clean = [r for r in got if r.toxic], [r for r in got if not r.toxic]
     assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
     assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
-    again = trained(learn.unionByName(odd).repartition(5), "text", "toxic", "doc_id", rows_per_task=400)
+    again = trained(learn.drop("toxic").repartition(5), learn.drop("text").repartition(3), rows_per_task=400)
     assert (again.weights == model.weights).all()
     blank = scored(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), model).collect()
     assert len(blank) == 2 and blank[0].score == blank[1].score
@@ -203,6 +204,6 @@ def test_toxicity_held_out(spark):
 
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, text string, toxic int")
-    model = trained(none, "text", "toxic", "doc_id")
+    model = trained(none.drop("toxic"), none.drop("text"))
     got = scored(spark.createDataFrame([(1, "a")], "doc_id long, text string"), model).collect()
     assert [r.score for r in got] == [0.5]
