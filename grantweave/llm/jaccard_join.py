@@ -252,6 +252,8 @@ def _hub_pairs(nodes: DataFrame, percent: int) -> DataFrame:
 def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """Every pair of nodes from different components that shares a token and could be similar.
 
+    On each token ``m`` is what the node's set can share if this is the first token shared: its shared shingles
+    from here on. A similar pair meets on its first shared token at the latest, so no pair is lost by that.
     The smaller set has the token in the part of its prefix marked ``index``. Components meet before their nodes
     do, with the extreme sizes of their nodes on the token, so the nodes of one component never do.
     """
@@ -269,12 +271,22 @@ def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
         & (100 * F.col("_most_a") >= percent * F.col("n_b"))
         & (100 * shared >= percent * (F.col("n_a") + F.greatest("n_a", "n_b") - shared))
     )
-    crossing = a.join(b, (a["token"] == b["token"]) & may).select(a["token"], "component_a", "component_b")
-    pairs = (
-        crossing.join(side(front, "a"), ["token", "component_a"])
-        .join(side(postings.drop("index"), "b"), ["token", "component_b"])
-        .filter(_fits(percent) & (F.col("n_a") <= F.col("n_b")))
+    crossing = a.join(b, (a["token"] == b["token"]) & may).select(
+        a["token"], "component_a", "component_b", F.col("n_b").alias("_least"), F.col("_most_b").alias("_most"), F.col("m_b").alias("_m")
     )
+    # Nodes of the one side are held against the other component's extremes before its nodes are joined.
+    one, n = side(front, "a"), F.col("n_a")
+    common = F.least("m_a", "_m")
+    still = (
+        (n <= F.col("_most"))
+        & (100 * n >= percent * F.col("_least"))
+        & (100 * common >= percent * (n + F.greatest("n_a", "_least") - common))
+    )
+    same = (crossing["token"] == one["token"]) & (crossing["component_a"] == one["component_a"])
+    met = crossing.join(one, same & still).select(crossing["token"], "component_b", "node_a", "n_a", "m_a")
+    other = side(postings.drop("index"), "b")
+    same = (met["token"] == other["token"]) & (met["component_b"] == other["component_b"])
+    pairs = met.join(other, same & _fits(percent) & (F.col("n_a") <= F.col("n_b")))
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
@@ -304,14 +316,15 @@ def jaccard_components(
     reps = able.join(copies.select(F.col("rep").alias("node")), "node", "left_semi")
     parts = reps.select("node", "n", F.posexplode("segments").alias("fragment", "segment")).filter(F.size("segment") > 0)
     prefixes = reps.select("node", "n_index", F.posexplode("prefix").alias("at", "token"))
-    prefixes = prefixes.select("node", "token", (F.col("at") < F.col("n_index")).alias("index"))
+    prefixes = prefixes.select("node", "token", "at", (F.col("at") < F.col("n_index")).alias("index"))
     nodes = reps.select("node", "n", "m", F.col("node").alias("component"), "bands")
     for turn in range(STAR_ROUNDS):
         some = nodes.withColumn("bands", F.slice("bands", turn * BANDS + 1, BANDS))
         found = stored(_alike(stored(_hub_pairs(some, percent), "pairs"), parts, percent), "links")
         links = links.unionByName(found)
         nodes = _relabelled(nodes, components(links, "a", "b"))
-    postings = stored(nodes.drop("bands").join(prefixes, "node"), "postings")
+    postings = nodes.drop("bands").join(prefixes, "node").withColumn("m", F.col("m") - F.col("at")).drop("at")
+    postings = stored(postings, "postings")
     pairs = _all_pairs(_between(postings), percent)
     links = links.unionByName(stored(_alike(stored(pairs, "pairs"), parts, percent), "links"))
     labels = components(stored(links, "links"), "a", "b")
