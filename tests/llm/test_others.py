@@ -115,6 +115,25 @@ def test_main_text_without_article():
     assert main_text("<div><p>a</p></div><footer>b</footer>", None) == "a"
 
 
+def test_no_article_is_dropped():
+    """Names on what holds the article, parts of names and slugs do not mark it; every main root stays."""
+    body = "<article><h1>a</h1><p>b</p></article>"
+    for page in (
+        f'<body class="has-sidebar">{body}</body>',
+        f'<body class="sidebar">{body}</body>',
+        f'<div class="content has-sidebar">{body}</div>',
+        f'<div class="sidebar">{body}</div>',
+        '<div class="banner"><main><h1>a</h1><p>b</p></main></div>',
+        '<article><h2 id="social">a</h2><section id="related-work"><p>b</p></section></article>',
+        '<article><h2 id="social-history">a</h2><section id="social"><p>b</p></section></article>',
+        '<div class="post-meta">x</div><div class="entry"><p>a</p><p>b</p></div>',
+        '<div class="entry"><p>a</p></div><div class="story"><p>b</p></div>',
+        '<article class="one">a</article><aside>x</aside><article class="two">b</article>',
+    ):
+        assert main_text(page, None) == "a\nb", page
+    assert main_text('<article>a</article><section id="comments"><article>x</article></section>', None) == "a"
+
+
 # --- segmentation ----------------------------------------------------------------------------
 
 
