@@ -19,13 +19,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: bytes below which a band holds, smallest and largest ratio of raw to compressed bytes
+#: bytes below which a band holds, smallest and largest ratio of raw to compressed bytes. Smallest ratios are above
+#: what 6-bit alphabets reach at the upper end (base64 tends to 1.33, random words of letters and digits to 1.41)
 BANDS = (
     (256, 0.0, 3.0),
-    (1_024, 1.02, 3.5),
-    (4_096, 1.2, 4.5),
-    (16_384, 1.3, 5.5),
-    (float("inf"), 1.3, 6.5),
+    (512, 1.25, 3.5),
+    (1_024, 1.34, 3.5),
+    (4_096, 1.4, 4.5),
+    (16_384, 1.45, 5.5),
+    (float("inf"), 1.45, 6.5),
 )
 CHUNK_BYTES = 4_096
 #: chunks shorter than this, at the end of a text, are judged with the whole only

@@ -1,7 +1,9 @@
 """Operators on documents against plain Python, on rows with nulls, copies, ties and odd texts."""
 
+import base64
 import hashlib
 import random
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -137,6 +139,20 @@ def test_quality_bands():
     assert verdict["n_bad_chunks"] > quality.BAD_CHUNKS * verdict["n_chunks"] and not verdict["kept"]
 
 
+@pytest.mark.parametrize("size", [800, 1_100, 2_000, 4_000, 5_000, 20_000, 580_000])
+def test_encoded_data_is_rejected(size):
+    """Random bytes in base64, at any line length, and random words leave the band."""
+    press = zstandard.ZstdCompressor(level=quality.LEVEL)
+    draw = random.Random(size)
+    code = base64.b64encode(draw.randbytes(size)).decode()
+    texts = ["\n".join(code[k : k + width] for k in range(0, len(code), width))[:size] for width in (10, 20, 64, 76)]
+    signs = string.ascii_letters + string.digits
+    texts += [" ".join("".join(draw.choices(signs, k=n)) for _ in range(size // (n + 1))) for n in (5, 12)]
+    for text in texts:
+        assert not quality.judged(text, press)[-1]
+        assert not quality.in_band(len(text), len(press.compress(text.encode())))
+
+
 def test_keep_good_keeps_columns(docs):
     kept = keep_good(docs)
     assert kept.schema == docs.schema
