@@ -17,6 +17,10 @@ from grantweave.llm.quality import keep_good
 from grantweave.llm.substring_dedup import without_repeats
 from grantweave.llm.tables import stored, table
 
+#: near copies share this percent of their shingles of so many words; ``op4_jaccard_join`` has limits of its own
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -32,7 +36,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id stays."""
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -338,16 +338,6 @@ def jaccard_components(
     )
 
 
-def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that with the smallest id; all columns unchanged.
-
-    Of rows that repeat an id with different texts, all stay if one does.
-    """
-    verdicts = stored(jaccard_components(docs, id_column, text_column), "verdicts")
-    kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
-
-
 def _relabelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     found = labels.withColumnRenamed("component", "_to")
     return stored(
@@ -355,11 +345,13 @@ def _relabelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
     """``docs`` with one row of each component, that with the smallest id; all columns unchanged.
 
     Of rows that repeat an id with different texts, all stay if one does.
     """
-    verdicts = stored(jaccard_components(docs, id_column, text_column), "verdicts")
+    verdicts = stored(jaccard_components(docs, id_column, text_column, width, percent), "verdicts")
     kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id")).distinct()
     return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")

@@ -364,3 +364,18 @@ def test_pipeline(spark, rows, tmp_path):
         docs = spark.read.parquet(str(tmp_path / name))
     assert {r.doc_id: len(words(r.text)) for r in docs.collect()} == expected
     assert {r.doc_id for r in out.select("doc_id").distinct().collect()} == set(expected)
+
+
+def test_pipeline_near_copies(spark, tmp_path):
+    """Five words and 0.8: a text with a fifth appended goes, one with more appended stays; equal to brute force."""
+    rows = []
+    for k in range(4):
+        text = prose(900 + k, 480)
+        rows += [(10 * k + j, " ".join(text[:n])) for j, n in enumerate((400, 478, 480))]
+    rows += [(100, " ".join(prose(950, 400))), (101, " ".join(prose(950, 400) + prose(951, 130)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels, _ = brute_components(rows, 5, 80)
+    expected = {i for i, _, c in labels if i == c}
+    assert expected == {0, 10, 20, 30, 100, 101}
+    stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
+    assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} == expected
