@@ -77,8 +77,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three best segmentations of every chat text."""
-    return segmented(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+    """The three best segmentations of every document and of every chat text; the other table's keys are null."""
+    keys = ["doc_id", "conv_id", "turn"]
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return segmented(documents.unionByName(chats, allowMissingColumns=True).select(*keys, "text"), keys)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

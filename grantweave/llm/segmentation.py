@@ -71,20 +71,34 @@ class Pieces:
         return ending
 
     def best(self, word: str, n: int) -> list[Path]:
-        """The ``n`` best paths through a word's lattice, best first; equal scores by their ids."""
+        """The ``n`` best paths through a word's lattice, best first; equal scores by their order in the lattice.
+
+        A queue entry points to the piece behind it, so all paths share their ends. No position is taken more than
+        ``n`` times: a later path through it is not better than the ``n`` before. Both are linear in the word.
+        """
         ending = self.lattice(word)
         forward = [0.0] + [float("-inf")] * len(word)
         for j in range(1, len(word) + 1):
             forward[j] = max((forward[i] + score for i, _, score in ending[j]), default=float("-inf"))
-        queue = [(-forward[-1], (), len(word), 0.0)]
+        taken = [0] * (len(word) + 1)
+        serial = 0
+        queue: list[tuple] = [(-forward[-1], len(word), serial, 0.0, None)]
         found: list[Path] = []
         while queue and len(found) < n:
-            _, ids, j, behind = heapq.heappop(queue)
+            _, j, _, behind, link = heapq.heappop(queue)
             if not j:
-                found.append((behind, ids))
+                ids: list[int] = []
+                while link:
+                    piece, link = link
+                    ids += piece
+                found.append((behind, tuple(ids)))
+                continue
+            if taken[j] == n:
                 continue
+            taken[j] += 1
             for i, piece, score in ending[j]:
-                heapq.heappush(queue, (-(forward[i] + score + behind), piece + ids, i, score + behind))
+                serial += 1
+                heapq.heappush(queue, (-(forward[i] + score + behind), i, serial, score + behind, (piece, link)))
         return found
 
     def encode(self, text: str, n: int = N_BEST) -> list[Path]:

@@ -3,6 +3,7 @@
 import itertools
 import json
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from grantweave.llm import segmentation as sg
 from grantweave.llm.chat_format import canonical, formatted, read_back
 from grantweave.llm.html_template import extracted, main_text, templates
 from grantweave.llm.license_scan import NOTICES, scanned
+from grantweave.llm.queries import op7_segmentation
 from grantweave.llm.segmentation import Pieces, merged, segmented
 from grantweave.llm.toxicity import scored, trained
 
@@ -164,6 +166,24 @@ def test_best_against_all(pieces, word):
     assert len({ids for _, ids in found}) == len(found) and all(p in full for p in found)
 
 
+def test_long_unbroken_word(pieces):
+    """Memory and time grow with the word, not with its square or with the number of equal paths."""
+    for word in ("a" * 4_000, "".join(random.Random(3).choices("ACGTacgt0189", k=40_000))):
+        tracemalloc.start()
+        found = pieces.best(word, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len({ids for _, ids in found}) == 3 and peak < 5_000 * len(word)
+        assert all("".join(pieces.text[i] for i in ids) == word for _, ids in found)
+
+
+def test_query_reads_documents_and_chats(spark, tmp_path):
+    spark.createDataFrame([(1, "the thing"), (2, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, "a")], "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = op7_segmentation(spark, str(tmp_path)).filter("rank = 1 and exact").collect()
+    assert {(r.doc_id, r.conv_id, r.turn) for r in got} == {(1, None, None), (2, None, None), (None, 1, 0)}
+
+
 def test_merged_against_all():
     draw = random.Random(2)
     for _ in range(30):
