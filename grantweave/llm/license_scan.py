@@ -7,7 +7,8 @@ to five words lies in one window whole and has a Jaccard similarity of at least
 bands of one row it is missed with probability (3/7)^8, about 1 in 900; longer notices meet several windows.
 
 A retrieved notice counts only if at least ``MIN_CONTAINED_PERCENT`` of its shingles stand close together in the
-text, which is checked exactly. Everything is built-in expressions; the notices are a few hundred
+text, which is checked exactly, and if none of those is lacking that tells its license or version from others.
+Everything is built-in expressions; the notices are a few hundred
 literals, and documents are not moved.
 """
 
@@ -46,6 +47,41 @@ NOTICES: dict[str, str] = {
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
     "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "apache-1.1": "Licensed under the Apache License, Version 1.1.",
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl": "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "mpl-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1",
+    "mpl-1.1-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    ),
+    "epl-1.0": "made available under the terms of the Eclipse Public License v1.0",
+    "epl-2.0": "made available under the terms of the Eclipse Public License v2.0",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "cc-by-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+} | {
+    f"cc-{code}-{version}-sentence": f"This work is licensed under a Creative Commons Attribution-{words} {version} {place} License."
+    for version, place in (("3.0", "Unported"), ("4.0", "International"))
+    for code, words in (
+        ("by-sa", "ShareAlike"),
+        ("by-nc", "NonCommercial"),
+        ("by-nd", "NoDerivatives"),
+        ("by-nc-sa", "NonCommercial-ShareAlike"),
+        ("by-nc-nd", "NonCommercial-NoDerivatives"),
+    )
+} | {
+    f"cc-{code}-{version}": f"Licensed under CC {code.upper()} {version}."
+    for code in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")
+    for version in ("3.0", "4.0")
+    if code != "by" and (code, version) not in (("by-nc", "4.0"), ("by-sa", "4.0"))
+} | {f"cc-by-{version}-short": f"Licensed under CC BY {version}." for version in ("3.0", "4.0")}
+
+#: words that tell licenses of one wording apart; numbers do as well
+VARIANT_WORDS = {
+    "lesser", "library", "affero", "noncommercial", "sharealike", "noderivatives", "noderivs", "nc", "sa", "nd",
 }
 
 BANDS = 8
@@ -69,6 +105,17 @@ def pairs(found: Column) -> Column:
     return F.zip_with(F.slice(found, 1, n), F.slice(found, 2, n), lambda a, b: F.xxhash64(a, b))
 
 
+def telling(found: Column) -> Column:
+    """Hashes of the adjacent words that a text must have: numbers and variant words with their neighbours, and what follows GNU."""
+    n = F.greatest(F.size(found) - 1, F.lit(0))
+
+    def hashed(a: Column, b: Column) -> Column:
+        number = b.rlike("^v?[0-9]+$") & (a != "v")
+        return F.when(number | a.isin(*VARIANT_WORDS) | b.isin(*VARIANT_WORDS) | (a == "gnu"), F.xxhash64(a, b))
+
+    return F.filter(F.zip_with(F.slice(found, 1, n), F.slice(found, 2, n), hashed), lambda x: x.isNotNull())
+
+
 def band_values(hashes: Column, step: int) -> Column:
     """The band values of the windows at every ``step`` shingles, with the band's number in the lowest bits."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(hashes), F.lit(1)), F.lit(step))
@@ -90,12 +137,12 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def notices(spark: SparkSession, texts: dict[str, str]) -> list[tuple[str, list[int], list[int]]]:
-    """Name, shingles and band values of every notice; as many rows as notices."""
+def notices(spark: SparkSession, texts: dict[str, str]) -> list[tuple[str, list[int], list[int], list[int]]]:
+    """Name, shingles, telling shingles and band values of every notice; as many rows as notices."""
     table = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("text")) for k, v in texts.items()])).alias("n"))
-    table = table.select("n.name", F.array_distinct(pairs(words(F.col("n.text")))).alias("hashes"), pairs(words(F.col("n.text"))).alias("all"))
-    rows = table.select("name", "hashes", F.array_distinct(band_values(F.col("all"), 1)).alias("bands")).collect()
-    return [(r.name, r.hashes, r.bands) for r in rows]
+    table = table.select("n.name", F.array_distinct(pairs(words(F.col("n.text")))).alias("hashes"), telling(words(F.col("n.text"))).alias("telling"), pairs(words(F.col("n.text"))).alias("all"))
+    rows = table.select("name", "hashes", "telling", F.array_distinct(band_values(F.col("all"), 1)).alias("bands")).collect()
+    return [(r.name, r.hashes, r.telling, r.bands) for r in rows]
 
 
 def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", texts: dict[str, str] | None = None) -> DataFrame:
@@ -114,11 +161,16 @@ def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rows = _once(rows, "_hashes", pairs(F.col("_words"))).drop("_words")
     rows = _once(rows, "_bands", band_values(F.col("_hashes"), STEP))
 
-    def found(name: str, hashes: list[int], bands: list[int]) -> Column:
+    def found(name: str, hashes: list[int], must: list[int], bands: list[int]) -> Column:
         wanted, need, n = longs(hashes), -(-MIN_CONTAINED_PERCENT * len(hashes) // 100), len(hashes)
         starts = F.sequence(F.lit(1), F.greatest(F.size("_hashes"), F.lit(1)), F.lit(n))
         # Any run of n shingles lies in one of these stretches of 2 n.
-        contained = F.exists(starts, lambda i: F.size(F.array_intersect(F.slice("_hashes", i, 2 * n), wanted)) >= need)
+        def close(i: Column) -> Column:
+            stretch = F.slice("_hashes", i, 2 * n)
+            enough = F.size(F.array_intersect(stretch, wanted)) >= need
+            return enough & (F.size(F.array_except(longs(must), stretch)) == 0) if must else enough
+
+        contained = F.exists(starts, close)
         retrieved = F.arrays_overlap("_bands", longs(bands))
         return F.when(F.when(retrieved, contained).otherwise(F.lit(False)), F.lit(name))
 

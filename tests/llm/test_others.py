@@ -80,6 +80,37 @@ def test_licenses(spark):
     assert scanned(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_license_variants(spark):
+    """A license is not taken for one that differs in version or variant."""
+    cc = "This work is licensed under a Creative Commons Attribution{} International License."
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    free = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+        "License as published by the Free Software Foundation"
+    )
+    cases = [
+        (cc.format(" 4.0"), "cc-by-4.0"),
+        (cc.format("-NonCommercial 4.0"), "cc-by-nc-4.0-sentence"),
+        (cc.format("-ShareAlike 4.0"), "cc-by-sa-4.0-sentence"),
+        (cc.format("-NonCommercial-NoDerivatives 4.0"), "cc-by-nc-nd-4.0-sentence"),
+        (cc.format(" 2.0"), ""),
+        ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", "cc-by-3.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc-sa-4.0"),
+        (gnu.format("", 3), "gpl-3.0"),
+        (gnu.format("", 2), "gpl-2.0"),
+        (gnu.format("Lesser ", 3), "lgpl-3.0"),
+        (gnu.format("Affero ", 3), "agpl-3.0"),
+        (free.format(""), "gpl-header"),
+        (free.format("Lesser "), "lgpl"),
+        (free.format("Affero "), "agpl"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", "mpl-1.1-form"),
+        (NOTICES["mpl-2.0"], "mpl-2.0"),
+    ]
+    docs = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in scanned(docs).collect()}
+    assert {text: got[k] for k, (text, _) in enumerate(cases)} == dict(cases)
+
+
 # --- pages -----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{{}}</style><script>var t="<p>no</p>";</script></head><body>
