@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantweave.llm.chat_format import canonical, formatted, read_back
+from grantweave.llm.chat_format import TURNS, canonical, formatted, read_back
 from grantweave.llm.exact_dedup import exact_duplicates
 from grantweave.llm.html_template import extracted
 from grantweave.llm.jaccard_join import jaccard_components
@@ -48,8 +48,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     record = F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"})
-    turns = canonical(rows.select("conv_id", "turn", record.alias("record")), "record").select(
-        "conv_id", "turn", F.inline("turns")
+    # A record above the JSON reader's limit on strings does not parse; its turn is the row's own columns.
+    own = F.array(F.struct("role", "text")).cast(TURNS)
+    turns = canonical(rows.select("*", record.alias("record")), "record").select(
+        "conv_id", "turn", F.inline(F.coalesce("turns", own))
     )
     back = read_back(formatted(turns, "conv_id", "turn"))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

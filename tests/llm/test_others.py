@@ -1,5 +1,6 @@
 """Chats, licenses, pages, segmentation and toxicity on small inputs with known answers."""
 
+import hashlib
 import itertools
 import json
 import random
@@ -12,7 +13,7 @@ from grantweave.llm import segmentation as sg
 from grantweave.llm.chat_format import canonical, formatted, read_back
 from grantweave.llm.html_template import extracted, main_text, templates
 from grantweave.llm.license_scan import NOTICES, scanned
-from grantweave.llm.queries import op7_segmentation
+from grantweave.llm.queries import op3_chat_format, op7_segmentation
 from grantweave.llm.segmentation import Pieces, merged, segmented
 from grantweave.llm.toxicity import scored, trained
 
@@ -58,6 +59,15 @@ def test_format_round_trip(spark):
     assert formatted(table.filter("false"), "conv_id", "turn").count() == 0
 
 
+def test_query_keeps_huge_turns(spark, tmp_path):
+    """A text above the JSON reader's limit of 20 million characters is a turn like any other."""
+    size = 20_500_000
+    row = spark.range(1).select("id", F.lit(0).cast("long").alias("turn"), F.lit("assistant").alias("role"), F.repeat(F.lit("x"), size).alias("text"))
+    row.withColumnRenamed("id", "conv_id").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = op3_chat_format(spark, str(tmp_path)).filter("conv_id = 0").select("n_turns", "loss_chars", "loss_sha256").collect()
+    assert [tuple(r) for r in got] == [(1, size, hashlib.sha256(b"x" * size).hexdigest())]
+
+
 # --- licenses --------------------------------------------------------------------------------
 
 
