@@ -135,7 +135,7 @@ def _greedy(counts: np.ndarray, room: int) -> tuple[int, ...]:
 
 def fillings(counts: np.ndarray, room: int, most_waste: int) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` from the pieces of ``counts`` that waste at most ``most_waste``, least
-    waste first, then fewer and longer pieces.
+    waste first, then fewer pieces, then those of most equal length: the shortest fit last and are kept longest.
 
     Looked at are one piece, two and three pieces, and the longest pieces that fit one after the other.
     One piece that fits exactly dominates all others.
@@ -154,19 +154,18 @@ def fillings(counts: np.ndarray, room: int, most_waste: int) -> list[tuple[int,
         ok = (at >= 0) & (second <= sizes) & ((second < sizes) | (counts[sizes] > 1))
         waste = room - sizes - second
         firsts = np.flatnonzero(ok & (waste <= most_waste))
-        firsts = firsts[np.lexsort((-sizes[firsts], waste[firsts]))][: 2 * MAX_BRANCHES]
+        firsts = firsts[np.lexsort((-second[firsts], waste[firsts]))][: 2 * MAX_BRANCHES]
         found.update((int(sizes[i]), int(second[i])) for i in firsts)
         exact = sum(1 for f in found if sum(f) == room)
         if exact < MAX_BRANCHES:
-            # Three pieces that fill the room, few first pieces, the longest first.
+            # Three pieces that fill the room, those of most equal length first.
             have = np.zeros(room + 1, bool)
             have[sizes] = True
-            for a in sizes[::-1].tolist():
-                if exact >= MAX_BRANCHES or 3 * a < room:
+            for a in sizes[np.searchsorted(sizes, -(-room // 3)) :].tolist():
+                if exact >= MAX_BRANCHES:
                     break
                 rest = room - a
-                b = np.arange(min(a, rest - 1), (rest + 1) // 2 - 1, -1)
-                b = b[(b > 0)]
+                b = np.arange((rest + 1) // 2, min(a, rest - 1) + 1)
                 b = b[have[b] & have[rest - b]]
                 for x in b[:2].tolist():
                     three = (a, x, rest - x)
@@ -174,7 +173,7 @@ def fillings(counts: np.ndarray, room: int, most_waste: int) -> list[tuple[int,
                         found.add(three)
                         exact += 1
     kept: list[tuple[int, ...]] = []
-    for filling in sorted(found, key=lambda f: (room - sum(f), len(f), tuple(-s for s in f))):
+    for filling in sorted(found, key=lambda f: (room - sum(f), len(f), -min(f, default=0))):
         if room - sum(filling) > most_waste or len(kept) == MAX_BRANCHES:
             break
         if len(filling) > 3 or not any(len(k) <= 3 and _holds(k, filling) for k in kept):
