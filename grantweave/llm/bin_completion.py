@@ -32,7 +32,7 @@ LENGTH = 1024
 #: id that ends each document
 END = 2
 #: pieces packed together; what a task holds
-GROUP_PIECES = 250_000
+GROUP_PIECES = 32_000
 #: steps of the search for a number of sequences
 MAX_STEPS = 4_000
 #: fillings tried at one place
