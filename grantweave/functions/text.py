@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from grantweave.functions.translit import to_ascii
+
 # White space in the Unicode sense, at either end of a text.
 _EDGES = r"^[\s\p{Z}\x1c-\x1f\x85]++|[\s\p{Z}\x1c-\x1f\x85]++$"
 
@@ -35,64 +35,6 @@ NULL_TOKENS = (
     "null",
 )
 
-# Characters whose ASCII form is not their Unicode base letter.
-FOLD_SPECIALS = {
-    "Æ": "AE",
-    "Ð": "D",
-    "Ø": "O",
-    "Þ": "Th",
-    "ß": "ss",
-    "æ": "ae",
-    "ð": "d",
-    "ø": "o",
-    "þ": "th",
-    "Đ": "D",
-    "đ": "d",
-    "Ħ": "H",
-    "ħ": "h",
-    "ı": "i",
-    "ĸ": "k",
-    "Ł": "L",
-    "ł": "l",
-    "Œ": "OE",
-    "œ": "oe",
-    "‐": "-",
-    "‑": "-",
-    "–": "-",
-    "—": "--",
-    "‘": "'",
-    "’": "'",
-    "“": '"',
-    "”": '"',
-    "…": "...",
-    "µ": "u",
-    "α": "a",
-    "β": "b",
-    "γ": "g",
-    "δ": "d",
-    "ε": "e",
-    "ζ": "z",
-    "η": "e",
-    "θ": "th",
-    "ι": "i",
-    "κ": "k",
-    "λ": "l",
-    "μ": "m",
-    "ν": "n",
-    "ξ": "x",
-    "ο": "o",
-    "π": "p",
-    "ρ": "r",
-    "ς": "s",
-    "σ": "s",
-    "τ": "t",
-    "υ": "u",
-    "φ": "ph",
-    "χ": "kh",
-    "ψ": "ps",
-    "ω": "o",
-}
-
 
 def strip(col: Column) -> Column:
     return F.regexp_replace(col, _EDGES, "")
@@ -108,35 +50,9 @@ def null_tokens(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     return F.when(~col.isin(*tokens), col)
 
 
-@lru_cache(maxsize=1)
-def _single_letter_folds() -> tuple[str, str]:
-    """Accented Latin letters and their base letters, found by decomposition."""
-    source, target = [], []
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
-        letter = chr(code)
-        if letter in FOLD_SPECIALS:
-            continue
-        base = "".join(c for c in unicodedata.normalize("NFKD", letter) if c.isascii())
-        if len(base) == 1:
-            source.append(letter)
-            target.append(base)
-    for letter, base in FOLD_SPECIALS.items():
-        if len(base) == 1:
-            source.append(letter)
-            target.append(base)
-    return "".join(source), "".join(target)
-
-
 def fold_accents(col: Column) -> Column:
-    """Latin letters without their accents; rows that are pure ASCII skip the work."""
-    source, target = _single_letter_folds()
-    folded = F.translate(col, source, target)
-    for letters, base in FOLD_SPECIALS.items():
-        if len(base) > 1:
-            folded = F.replace(folded, F.lit(letters), F.lit(base))
-    # combining marks left over from decomposed input
-    folded = F.regexp_replace(folded, r"[\u0300-\u036f]", "")
-    return F.when(F.length(col) == F.octet_length(col), col).otherwise(folded)
+    """Latin, Greek and Cyrillic letters in ASCII; rows that are pure ASCII skip the work."""
+    return to_ascii(col)
 
 
 def normalize_keyword(col: Column) -> Column:
