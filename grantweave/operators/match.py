@@ -4,6 +4,10 @@ Two plans give the same hits. A dictionary of up to a few thousand terms becomes
 expression, evaluated row by row with no shuffle. A table-sized dictionary is joined to the word
 sequences of the text. Hits depend on the text alone, so that join works on distinct texts, named by a
 digest, and rows need no id of their own. Terms are matched in lower case, as texts are.
+
+Beyond a broadcast that join is shuffled, and a text has as many sequences as tokens times term lengths. A Bloom filter
+of fixed size over the first two words of the terms, each with the term's length, is looked up before sequences
+are formed, so about as many are shuffled as there are hits.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import functions as F
 
 from grantweave.functions.pattern import term_pattern
 from grantweave.functions.text import concat_text
+from grantweave.operators.bloom import block_of, bloom_filter, might_contain
 from grantweave.operators.skew import DEFAULT_POLICY, SkewPolicy, balanced_join
 from grantweave.operators.terms import pattern_terms, term_pool
 from grantweave.session import scratch_path
@@ -30,6 +35,8 @@ MAX_BROADCAST_CHARS = 64 * 1024**2
 _TOKENS = r"(?s)[A-Za-z0-9_]+|[^A-Za-z0-9_]"
 _WORD = "^[A-Za-z0-9_]"
 _DIGEST = "_text_digest"
+#: tokens of a term that name its block of the filter: two words and what is between them
+_PREFIX_TOKENS = 3
 
 
 def _hit_columns(hits: Column) -> list[Column]:
@@ -67,6 +74,7 @@ def _tokenised_terms(terms: DataFrame) -> DataFrame:
             "term",
             F.size(tokens).alias("tokens"),
             F.element_at(tokens, 1).alias("head"),
+            F.array_join(F.slice(tokens, 1, _PREFIX_TOKENS), "").alias("prefix"),
         )
     )
 
@@ -98,6 +106,28 @@ def _candidates(places: DataFrame, odd_heads: bool) -> DataFrame:
     )
 
 
+def probable_starts(places: DataFrame, dictionary: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``places`` with each length ``n`` of a term that may start there, told by the filter alone.
+
+    The filter's size is fixed, so it is broadcast whatever the dictionary; places are not shuffled.
+    """
+    tokens, pos = F.col("_tokens"), F.col("pos")
+    blocks = bloom_filter(dictionary, "prefix", "tokens")
+    options = []
+    for k in range(1, _PREFIX_TOKENS + 1):
+        found = [n for n in lengths if (n == k if k < _PREFIX_TOKENS else n >= k)]
+        if found:
+            prefix = F.when(F.size(tokens) >= pos + k, F.array_join(F.slice(tokens, pos + 1, k), ""))
+            options.append(F.struct(prefix.alias("prefix"), F.array(*map(F.lit, found)).alias("ns")))
+    looked_up = (
+        places.select("*", F.inline(F.array(*options)))
+        .filter("prefix is not null")
+        .join(F.broadcast(blocks), block_of(F.col("prefix")) == F.col("block"))
+    )
+    ns = F.filter("ns", lambda n: might_contain(F.col("words"), F.col("prefix"), n))
+    return looked_up.select(*places.columns, F.explode(ns).alias("n"))
+
+
 def _without_overlaps(spans: Column) -> Column:
     """Terms kept when (start, -length, term) spans are taken left to right."""
     start = F.struct(F.lit(0).alias("free"), F.expr("cast(array() as array<string>)").alias("hits"))
@@ -147,8 +177,7 @@ def match_join(
         starts = places.join(F.broadcast(heads), "head").withColumn("n", F.explode("lengths"))
         spans = _candidates(starts, size.odd_heads).join(F.broadcast(lookup), "term")
     else:
-        lengths = F.array(*[F.lit(n) for n in size.lengths])
-        starts = places.withColumn("n", F.explode(lengths))
+        starts = probable_starts(places, dictionary, size.lengths)
         spans = balanced_join(
             _candidates(starts, size.odd_heads),
             lookup,
