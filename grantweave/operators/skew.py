@@ -1,22 +1,33 @@
 """Equi-joins that stay balanced when one key holds a large part of the rows.
 
 Keys above a row limit are split: a row of such a key is given one of N salts and the matching
-rows of the other side are repeated for each salt. The list of split keys is cut to a fixed
-length, so it can be broadcast; every other key joins as usual and adaptive execution can still
-split its partition, because both join inputs arrive straight from an exchange. No row is
-dropped or sampled.
+rows of the other side are repeated for each salt. They are found by a sketch of frequent items, which
+sees every row but keeps a fixed number of keys, so no count of all keys is shuffled. Every key above the
+limit that has at least ``1 / SHARE`` of the rows is in the list, whose length is fixed; other keys join as
+usual and adaptive execution can still split their partitions, because both join inputs arrive straight from
+an exchange. No row is dropped or sampled.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantweave.session import input_bytes
 
+#: a key with one of so many parts of the rows is surely found: the sketch is off by at most 1/9,000 of the rows, so
+#: fewer than ``LISTED`` keys can come before it
+SHARE = 500
+LISTED = 1_000
+TRACKED = 16_384
+#: types whose equal values have equal hashes
+_HASHED = (T.StringType, T.IntegralType, T.DateType, T.TimestampType, T.BooleanType, T.BinaryType, T.DecimalType)
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
@@ -29,24 +40,30 @@ class SkewPolicy:
     #: rows one salt should hold
     rows_per_split: int = 1_000_000
     max_splits: int = 1_000
-    #: bound on the broadcast list of split keys
-    max_hot_keys: int = 1_000
 
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """The heaviest keys and the number of splits each should get; at most ``max_hot_keys`` rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    splits = F.least(F.ceil(F.col("_rows") / policy.rows_per_split), F.lit(policy.max_splits))
-    return (
-        counts.filter(F.col("_rows") >= policy.hot_rows)
-        # Ties are ordered too: both sides of a join must arrive at the same list.
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(policy.max_hot_keys)
-        .select(*keys, splits.cast("int").alias("_splits"))
-    )
+def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> dict[int, int]:
+    """Hashes of the heaviest keys and the number of splits each should get, at most ``LISTED`` of them.
+
+    Runs one job, whose result has a fixed size: both sides of a join must see the same list, and a sketch that
+    is merged in another order may list other keys.
+    """
+    hashes = df.select(F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("h"))
+    top = hashes.agg(F.expr(f"approx_top_k(h, {LISTED}, {TRACKED})").alias("top")).first().top
+    return {
+        t.item: min(math.ceil(t["count"] / policy.rows_per_split), policy.max_splits)
+        for t in top or []
+        if t["count"] >= policy.hot_rows
+    }
+
+
+def _can_hash(left: DataFrame, right: DataFrame, keys: list[str]) -> bool:
+    """Whether keys that are equal in a join have the same hash on both sides."""
+    kinds = [(left.schema[k].dataType, right.schema[k].dataType) for k in keys]
+    return all(a == b and isinstance(a, _HASHED) for a, b in kinds)
 
 
 def _salt(df: DataFrame, splits: Column) -> Column:
@@ -84,6 +101,8 @@ def balanced_join(
     ``how`` is ``left`` or ``inner``. ``right_unique`` says each key occurs at most once on the
     right, which leaves only the left side to split. Where a side is costly to compute,
     ``left_keys`` and ``right_keys`` name tables with the same keys to look for hot ones in.
+
+    Keys whose types differ between the sides, or are floating-point, are joined as they are.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -100,33 +119,28 @@ def balanced_join(
     same = _same_key(keys, right_names, null_safe)
     output = [F.col(f"`{c}`") for c in [*left.columns, *others]]
 
-    if input_bytes(left) < policy.min_bytes and input_bytes(right) < policy.min_bytes:
+    large = input_bytes(left) >= policy.min_bytes or input_bytes(right) >= policy.min_bytes
+    named = right.withColumnsRenamed(dict(zip(right_names, keys)))
+    if not large or not _can_hash(left, named, keys):
         return left.join(right, same, how).select(*output)
 
-    hot = hot_keys(left if left_keys is None else left_keys, keys, policy).select(
-        *keys, F.col("_splits").alias("_left_splits"), F.lit(1).alias("_right_splits")
+    on_left = hot_keys(left if left_keys is None else left_keys, keys, policy)
+    on_right = {} if right_unique else hot_keys(named if right_keys is None else right_keys, keys, policy)
+    if not on_left and not on_right and not (how == "left" and not null_safe):
+        return left.join(right, same, how).select(*output)
+    hot = left.sparkSession.createDataFrame(
+        [(h, on_left.get(h, 1), on_right.get(h, 1)) for h in {*on_left, *on_right}],
+        "_hot bigint, _left_splits int, _right_splits int",
     )
-    if not right_unique:
-        searched = right.withColumnsRenamed(dict(zip(right_names, keys)))
-        if right_keys is not None:
-            searched = right_keys
-        on_right = hot_keys(searched, keys, policy).toDF(*keys, "_right_splits")
-        hot = (
-            hot.unionByName(
-                on_right.select(*keys, F.lit(1).alias("_left_splits"), "_right_splits")
-            )
-            .groupBy(*keys)
-            .agg(
-                F.max("_left_splits").alias("_left_splits"),
-                F.max("_right_splits").alias("_right_splits"),
-            )
-        )
-    hot_names = [f"_hot_{i}" for i in range(len(keys))]
-    hot = F.broadcast(hot.toDF(*hot_names, "_left_splits", "_right_splits"))
+    hot = F.broadcast(hot)
 
     def with_splits(df: DataFrame, names: list[str]) -> DataFrame:
         one = F.lit(1)
-        return df.join(hot, _same_key(names, hot_names, null_safe), "left").select(
+        key = F.xxhash64(*[F.col(f"`{n}`") for n in names])
+        if not null_safe:
+            # A null key is hot on neither side, as it meets nothing.
+            key = F.when(reduce(lambda x, y: x & y, [F.col(f"`{n}`").isNotNull() for n in names]), key)
+        return df.join(hot, key == F.col("_hot"), "left").select(
             *[F.col(f"`{c}`") for c in df.columns],
             F.coalesce("_left_splits", one).alias("_left_splits"),
             F.coalesce("_right_splits", one).alias("_right_splits"),

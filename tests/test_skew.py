@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from grantweave.functions.text import concat_text
 from grantweave.operators import duplicates as dup
-from grantweave.operators import link, match, outcomes
+from grantweave.operators import link, match, outcomes, skew
 from grantweave.operators.skew import SkewPolicy, balanced_join, hot_keys
 
-SALTED = SkewPolicy(min_bytes=0, hot_rows=5, rows_per_split=3, max_splits=7, max_hot_keys=3)
-ALWAYS = SkewPolicy(min_bytes=0, hot_rows=1, rows_per_split=1, max_splits=4, max_hot_keys=50)
+SALTED = SkewPolicy(min_bytes=0, hot_rows=5, rows_per_split=3, max_splits=7)
+ALWAYS = SkewPolicy(min_bytes=0, hot_rows=1, rows_per_split=1, max_splits=4)
 
 
 def _rows(df):
@@ -59,11 +59,23 @@ def test_salted_join_with_unique_right(spark, null_safe):
     assert salted.count() == left.count()
 
 
-def test_hot_keys_are_bounded_and_split(spark):
-    df = spark.range(1000).select((F.col("id") % 10).cast("string").alias("k"))
-    found = hot_keys(df, ["k"], SkewPolicy(0, 50, 10, 4, 6)).collect()
-    assert len(found) == 6
-    assert {r._splits for r in found} == {4}
+def test_no_heavy_key_stays_whole(spark):
+    """Keys with 1/500 of the rows among many light ones: each is listed, and the list has a bound."""
+    heavy = spark.range(400_000).select((F.col("id") % 250).cast("string").alias("k"))
+    light = spark.range(400_000).select(F.concat(F.lit("light"), "id").alias("k"))
+    df = heavy.union(light).repartition(6)
+    found = hot_keys(df, ["k"], SkewPolicy(0, 1_600, 200, 4))
+    expected = {r[0] for r in heavy.distinct().select(F.xxhash64("k")).collect()}
+    assert expected <= set(found) and len(found) <= skew.LISTED
+    assert {found[h] for h in expected} == {4}
+    assert hot_keys(df.limit(0), ["k"]) == {}
+
+
+def test_keys_of_unlike_types_are_joined_as_they_are(spark):
+    left = spark.range(40).select((F.col("id") % 3).alias("k"), "id")
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "k int, v string")
+    joined = balanced_join(left, right, ["k"], "inner", policy=ALWAYS)
+    assert joined.count() == left.filter("k < 2").count()
 
 
 def test_identical_rows_spread_over_salts(spark):
@@ -175,3 +187,20 @@ def test_match_plans_agree_on_documents(spark):
         ).drop("text")
         assert by_join.exceptAll(by_regex).count() == 0
         assert by_regex.exceptAll(by_join).count() == 0
+
+
+def test_filter_admits_few_sequences_but_all_hits(spark):
+    """What is shuffled beyond a broadcast is close to what is found."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))
+    benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select(words.alias("w"))
+    terms = benchmark.select(F.explode(pairs).alias("term")).distinct()
+    dictionary = match._tokenised_terms(terms)
+    places = match._places(documents.filter("text != ''"), "doc_id", F.lower("text"))
+    sequences = match._candidates(match.probable_starts(places, dictionary, [3]), False)
+    hits = sequences.join(terms, "term")
+    assert 1_000 < hits.count() and sequences.count() <= 2 * hits.count()
+    everything = match._candidates(places.withColumn("n", F.lit(3)), False)
+    assert everything.join(terms, "term").count() == hits.count()
+    assert everything.count() > 20 * sequences.count()
