@@ -32,11 +32,16 @@ class Drift:
 
 
 def schema_drift(headers: Sequence[Sequence[str]], force_append: bool) -> Drift:
-    """Columns that not every header has; a drifting source is skipped unless forced."""
-    every = list(dict.fromkeys(c for h in headers for c in h))
-    common = set(every).intersection(*[set(h) for h in headers]) if headers else set()
-    unexpected = tuple(sorted(set(every) - common))
-    return Drift(tuple(every), unexpected, bool(unexpected) and not force_append)
+    """Columns that not every header has; a drifting source is skipped unless forced.
+
+    Names that differ by case alone are one column, as in the append; its first spelling counts.
+    """
+    every: dict[str, str] = {}
+    for name in (c for h in headers for c in h):
+        every.setdefault(name.lower(), name)
+    common = set(every).intersection(*[{c.lower() for c in h} for h in headers]) if headers else set()
+    unexpected = tuple(sorted(name for key, name in every.items() if key not in common))
+    return Drift(tuple(every.values()), unexpected, bool(unexpected) and not force_append)
 
 
 def append_audit(
@@ -88,7 +93,7 @@ def row_counts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFram
 
 def appended_dimensions(spark: SparkSession, appended: Mapping[str, DataFrame]) -> DataFrame:
     """One row: rows over all sources and the width of the union of their columns."""
-    width = len({c for df in appended.values() for c in df.columns})
+    width = len({c.lower() for df in appended.values() for c in df.columns})
     return row_counts(spark, appended).agg(
         F.coalesce(F.sum("total_rows"), F.lit(0)).cast("bigint").alias("total_rows"),
         F.lit(width).cast("bigint").alias("total_columns"),

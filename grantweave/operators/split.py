@@ -13,11 +13,16 @@ COUNT_COLUMN = "total_unique_count"
 def require_columns(df: DataFrame, columns: Sequence[str], count_column: str = COUNT_COLUMN) -> None:
     if not columns:
         raise ValueError("no training columns configured")
-    missing = [c for c in [count_column, *columns] if c not in df.columns]
+    missing = missing_columns(df, columns, count_column)
     if missing:
         raise ValueError(f"missing training columns: {missing}")
 
 
+def missing_columns(df: DataFrame, columns: Sequence[str], count_column: str = COUNT_COLUMN) -> list[str]:
+    """The count column and training columns that ``df`` lacks."""
+    return [c for c in [count_column, *columns] if c not in df.columns]
+
+
 def _split_names(columns: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in columns]
 

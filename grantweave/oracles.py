@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from grantweave.plans.config import DISEASES, TREATMENTS
-from grantweave.queries import CUTOFF, LINE_ORDER, TEXT_TERMS
+from grantweave.queries import CUTOFF, LINE_ORDER, PAIR_ROWS, TEXT_TERMS
 
 
 def _alternation(terms) -> str:
@@ -176,9 +176,61 @@ def all_sql() -> dict[str, str]:
             union all select 'supplier', 'ok', count(*) > 0 from supplier
             union all select 'absent', 'missing', false""",
         "load_audit": """
-            select 'region' as source, count(*)::bigint as total_rows from region
-            union all select 'nation', count(*) from nation
-            union all select 'customer', count(*) from customer""",
+            select 'region' as source, count(*)::bigint as total_rows, 0::bigint as rejected_records from region
+            union all select 'nation', count(*), 0 from nation
+            union all select 'customer', count(*) filter (c_mktsegment <> 'FURNITURE'),
+                count(*) filter (c_mktsegment = 'FURNITURE') from customer""",
+        "rejected_records": """
+            select c_custkey || ',' || c_name || ',EXTRA' as text, 'too many cells' as reason
+            from customer where c_mktsegment = 'FURNITURE'""",
+        "typed_append": """
+            select p_partkey::bigint as k, p_size::double as n, p_name as t, 'bigint|double|string' as types from part
+            union all
+            select s_suppkey::bigint, s_acctbal, s_nationkey::varchar, 'bigint|double|string' from supplier""",
+        "drift_by_case": """
+            select 'both' as source, (2 * count(*))::bigint as total_rows, 3::bigint as total_columns,
+                0::bigint as unexpected_columns_added, false as skipped from customer""",
+        "absent_outcome": f"""
+            with {_GRANTS} select patent_count, count(*)::bigint as projects, false as has_publications,
+                true as refused_without_abstracts
+            from (select distinct * exclude (publication_count) from full_rows) group by 1""",
+        "keyword_scripts": """
+            select p_partkey, lower(case p_type
+                when 'PROMO' then p_name || ' fibrofluff alpha'
+                when 'ECONOMY' then p_name when 'SMALL' then p_name when 'MEDIUM' then p_name
+                when 'LARGE' then p_name
+                else p_name || ' bolezn'' shchio' end) as keyword
+            from part""",
+        "keyword_hits_shuffled": f"select {_COUNTS} from ({_DOC_HITS})",
+        "frequent_pairs": f"""
+            with h as ({_DOC_HITS}), f as (select doc_id, unnest(u) as t from h)
+            select a.t as term_a, b.t as term_b, count(*)::bigint as row_count
+            from f a join f b on a.doc_id = b.doc_id and a.t < b.t group by 1, 2
+            having count(*) >= {PAIR_ROWS}""",
+        "merged_profile": " union all ".join(
+            f"""select '{c}' as column_name, count(*)::bigint as row_count,
+                count_if({v} is null)::bigint as null_count,
+                min(length({v}::varchar))::bigint as min_length,
+                max(length({v}::varchar))::bigint as max_length, true as distinct_within_error from documents"""
+            for c, v in (
+                ("doc_id", "doc_id"),
+                ("lang", "nullif(lang, 'de')"),
+                ("source", "source"),
+                ("text", "text"),
+            )
+        ),
+        "terms_used": f"with {_PART_TERMS} select distinct category, term from terms",
+        "split_positions": f"""
+            select {_SPLIT},
+                min(p) filter (len(u) >= {CUTOFF}) as retained_min_id,
+                max(p) filter (len(u) >= {CUTOFF}) as retained_max_id,
+                min(p) filter (len(u) < {CUTOFF}) as dropped_min_id,
+                max(p) filter (len(u) < {CUTOFF}) as dropped_max_id
+            from ({_hits("lower(text)", TEXT_TERMS,
+                         "(select text, row_number() over (order by doc_id) - 1 as p from documents)", "p")})""",
+        "column_guard": """
+            select count(*)::bigint as rows, 5::bigint as "columns",
+                'total_unique_count|absent|flagged' as missing, true as refused from documents""",
         "rename_audit": """
             select 'customer' as source, 'c_custkey' as old, 'custkey' as new from customer
             union select 'supplier', 's_suppkey', 'suppkey' from supplier""",
@@ -346,6 +398,19 @@ def all_sql() -> dict[str, str]:
             select b.item_id, coalesce(n, 0)::bigint as total_count,
                 coalesce(u, 0)::bigint as total_unique_count
             from benchmark b left join h using (item_id)""",
+        "shuffled_dictionary_hits": r"""
+            with d as (
+                select distinct unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as w
+                from documents),
+            t as (
+                select item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as w
+                from benchmark),
+            h as (
+                select item_id, count(*) as n, count(distinct w) as u
+                from t where w in (select w from d) group by 1)
+            select b.item_id, coalesce(n, 0)::bigint as total_count,
+                coalesce(u, 0)::bigint as total_unique_count
+            from benchmark b left join h using (item_id)""",
         "no_text_columns": "select doc_id, length(text) as chars from documents",
         "hits_folded": f"""
             select {_COUNTS} from ({_hits("replace(strip_accents(lower(text)), 'ß', 'ss')",

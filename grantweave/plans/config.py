@@ -126,6 +126,8 @@ class StageConfig:
     force_append: bool = True
     #: None finds out per file whether records span lines
     multi_line: bool | None = None
+    #: give columns the narrowest type that all files agree on, after they have been appended as text
+    infer_types: bool = False
     #: normalise the project table's own number before outcome counts are joined
     normalize_left: bool = True
     #: let null application ids meet each other

@@ -39,11 +39,12 @@ from grantweave.operators.terms import (
     expand_terms,
     keyword_table,
 )
+from grantweave.operators.types import column_types, typed
 from grantweave.plans.config import DEFAULT_CONFIG, EXPORT_NAMES, OUTCOMES, StageConfig
 from grantweave.plans.summaries import assemble, row_list, row_struct
 from grantweave.session import scratch_path
 from grantweave.sources import csv_source
-from grantweave.sources.tables import export_csv, write_snapshot, write_table
+from grantweave.sources.tables import REJECTED_FLAG, export_csv, write_observed, write_table
 
 COPIES = "_copies"
 FIGURES = ["unique_duplicate_rows", "total_duplicates", "extra_duplicates", "rows"]
@@ -55,7 +56,10 @@ def preprocess(
     config: StageConfig = DEFAULT_CONFIG,
     output: str | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """CSV folders under ``root`` to one text table per source."""
+    """CSV folders under ``root`` to one table per source; text, unless ``infer_types`` asks for types.
+
+    With ``output``, records that were left out are stored with their source, in a partition of their own.
+    """
     folders = csv_source.list_folders(spark, root, config.sources)
     files = csv_source.inspect_files(spark, folders, config.rename_columns, config.multi_line)
     by_source: dict[str, list] = {f.source: [] for f in folders if f.files}
@@ -66,11 +70,25 @@ def preprocess(
         s: ap.schema_drift([f.columns for f in fs], config.force_append)
         for s, fs in by_source.items()
     }
-    loaded = {s: csv_source.read_source(spark, fs) for s, fs in by_source.items() if fs}
-    appended = {s: df for s, df in loaded.items() if not drift[s].skipped}
+    scanned = {s: csv_source.scan_source(spark, fs) for s, fs in by_source.items() if fs}
+    appended = {s: csv_source.rows_of(df) for s, df in scanned.items() if not drift[s].skipped}
+    loads: dict[str, tuple[int, int]] = {}
     if output:
-        appended = write_snapshot(appended, output)
-        loaded = {**loaded, **appended}
+        # Rows and rejected records are written and counted in one pass over each source.
+        left_out = F.col(csv_source.REJECTED).isNotNull()
+        figures = {"rows": F.count_if(~left_out), "rejected": F.count_if(left_out)}
+        for source in appended:
+            stored, seen = write_observed(
+                scanned[source].withColumn(REJECTED_FLAG, left_out),
+                f"{output.rstrip('/')}/{source}",
+                figures,
+                partition_by=REJECTED_FLAG,
+            )
+            loads[source] = (seen["rows"], seen["rejected"])
+            appended[source] = csv_source.rows_of(stored.filter(~F.col(REJECTED_FLAG)).drop(REJECTED_FLAG))
+    loads |= csv_source.scan_counts(spark, {s: df for s, df in scanned.items() if s not in loads})
+    if config.infer_types:
+        appended = {s: typed(df, column_types(df)) for s, df in appended.items()}
 
     counts = {s: len(fs) for s, fs in by_source.items()}
     sections = {
@@ -81,8 +99,8 @@ def preprocess(
         "appended": row_list(ap.append_audit(spark, appended, drift, counts), "source"),
         "dimensions": row_struct(ap.appended_dimensions(spark, appended)),
     }
-    if loaded:
-        sections["initial_load"] = row_list(csv_source.load_audit(loaded, files), "source")
+    if scanned:
+        sections["initial_load"] = row_list(csv_source.load_audit(spark, files, loads), "source")
     return appended, assemble(sections)
 
 
@@ -189,13 +207,21 @@ def config_terms(spark: SparkSession, config: StageConfig = DEFAULT_CONFIG) -> D
     return expand_terms(keyword_table(spark, config.keywords), stopwords)
 
 
+def terms_used(terms: DataFrame) -> DataFrame:
+    """The dictionary as a table of its own, ``(category, term)``; it may have any size."""
+    return terms.select("category", "term").distinct()
+
+
 def keywords(
     df: DataFrame,
     config: StageConfig = DEFAULT_CONFIG,
     output: str | None = None,
     terms: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with hit counts and flagged terms. Without any text column: input and no summary."""
+    """Rows with hit counts and flagged terms. Without any text column: input and no summary.
+
+    The summary counts the dictionary's terms; :func:`terms_used` lists them.
+    """
     used = present_columns(df, config.text_columns)
     if not used:
         return df, None
@@ -217,8 +243,6 @@ def keywords(
             figures.select(F.col("total_rows_processed").alias("rows"), columns.alias("columns"))
         ),
     }
-    listed = terms.groupBy("category").agg(F.array_sort(F.collect_set("term")).alias("terms"))
-    sections["terms_used"] = row_list(listed, "category")
     return table, assemble(sections)
 
 
@@ -276,4 +300,5 @@ __all__ = [
     "metrics",
     "mlexport",
     "preprocess",
+    "terms_used",
 ]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantweave.functions.text import concat_text, normalize_key
+from grantweave.functions.text import concat_text, normalize_key, normalize_keyword
 from grantweave.operators import append as ap
 from grantweave.operators import duplicates as dup
 from grantweave.operators import link, match, outcomes, split, stats
@@ -117,12 +117,49 @@ def source_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _long_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Customers as CSV; a line has a cell too many where the segment is FURNITURE."""
+    root = scratch_path(spark, "sources")
+    customer = table(spark, sf_dir, "customer")
+    cells = [F.col("c_custkey").cast("string"), F.col("c_name")]
+    over = F.when(F.col("c_mktsegment") == "FURNITURE", F.lit("EXTRA"))
+    _write_lines(customer, "c_custkey,c_name", F.concat_ws(",", *cells, over), f"{root}/customer")
+    return root
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["region", "nation", "customer"]
+    names = ["region", "nation"]
     root = _csv_sources(spark, sf_dir, names)
-    files = cs.inspect_files(spark, cs.list_folders(spark, root, names))
-    loaded = {n: cs.read_source(spark, [f for f in files if f.source == n]) for n in names}
-    return cs.load_audit(loaded, files).select("source", "total_rows")
+    folders = cs.list_folders(spark, root, names) + cs.list_folders(spark, _long_lines(spark, sf_dir), ["customer"])
+    files = cs.inspect_files(spark, folders)
+    scanned = {n: cs.scan_source(spark, [f for f in files if f.source == n]) for n in [*names, "customer"]}
+    counts = cs.scan_counts(spark, scanned)
+    return cs.load_audit(spark, files, counts).select("source", "total_rows", "rejected_records")
+
+
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first stage leaves out of a source, stored beside its rows in the same pass."""
+    output = scratch_path(spark, "preprocess")
+    config = StageConfig(sources=("customer",), rename_columns={})
+    stages.preprocess(spark, _long_lines(spark, sf_dir), config, output)
+    return tb.read_rejected(spark, output, "customer").select("text", "reason")
+
+
+def typed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that disagree on types: whole numbers, numbers with a fraction, and text in one of the columns."""
+    root = scratch_path(spark, "typed")
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("k"), F.col("p_size").alias("n"), F.col("p_name").alias("t")
+    )
+    supplier = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("n"), F.col("s_nationkey").alias("t")
+    )
+    for df in (part, supplier):
+        _write_source(df, f"{root}/items")
+    config = StageConfig(sources=("items",), rename_columns={}, infer_types=True)
+    tables, _ = stages.preprocess(spark, root, config)
+    types = [f.dataType.simpleString() for f in tables["items"].schema.fields]
+    return tables["items"].withColumn("types", F.lit("|".join(types)))
 
 
 def rename_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +312,17 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drift_by_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables whose names differ by case alone are one table in drift, audit and append."""
+    upper = _people(spark, sf_dir)["customer"].withColumnRenamed("name", "NAME")
+    same = {"a": _people(spark, sf_dir)["customer"], "b": upper}
+    drift = {"both": ap.schema_drift([df.columns for df in same.values()], force_append=False)}
+    appended = {"both": ap.append_by_name(list(same.values()))}
+    return ap.append_audit(spark, appended, drift, {"both": 2}).select(
+        "source", "total_rows", "total_columns", "unexpected_columns_added", "skipped"
+    )
+
+
 def appended_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ap.appended_dimensions(spark, _people(spark, sf_dir))
 
@@ -376,6 +424,24 @@ def project_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.linked_outcomes(grant_tables(spark, sf_dir)).drop(stages.COPIES)
 
 
+def absent_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without one outcome source there is no count of it; without abstracts there is no link."""
+    tables = grant_tables(spark, sf_dir)
+    without = {s: df for s, df in tables.items() if s != "PUBLINK"}
+    linked = stages.linked_outcomes(without)
+    try:
+        stages.linked_outcomes({s: df for s, df in tables.items() if s != "PRJABS"})
+        refused = False
+    except ValueError:
+        refused = True
+    return linked.groupBy("patent_count").agg(F.count(F.lit(1)).alias("projects")).select(
+        "patent_count",
+        "projects",
+        F.lit("publication_count" in linked.columns).alias("has_publications"),
+        F.lit(refused).alias("refused_without_abstracts"),
+    )
+
+
 def outcome_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = stages.outcome_links(grant_tables(spark, sf_dir))
     return outcomes.outcome_duplicates(outcomes.outcome_pairs(links))
@@ -448,6 +514,31 @@ def _part_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_type").alias("category"), keyword.alias("keyword"))
 
 
+#: letters of three scripts that stand for one or two ASCII letters
+SCRIPTS = {
+    "ECONOMY": ("abgdzklmnoprstx", "αβγδζκλμνοπρστξ"),
+    "SMALL": ("abvgdezikl", "абвгдезикл"),
+    "MEDIUM": ("abcdefghijklmnopqrstuvwxyz", "ａｂｃｄｅｆｇｈｉｊｋｌｍｎｏｐｑｒｓｔｕｖｗｘｙｚ"),
+    "LARGE": ("aeiou", "άέίόύ"),
+}
+
+
+def keyword_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names spelled with Greek, Cyrillic and wide letters, ligatures and loose accents, and folded again."""
+    name, kind = F.col("p_name"), F.col("p_type")
+    spelled = F.when(kind == "ECONOMY", F.translate(name, *SCRIPTS["ECONOMY"]))
+    for other in ("SMALL", "MEDIUM"):
+        spelled = spelled.when(kind == other, F.translate(name, *SCRIPTS[other]))
+    # Accented Greek vowels; the accent of the first is a mark of its own.
+    spelled = spelled.when(
+        kind == "LARGE", F.replace(F.translate(name, "aiou", "άίόυ"), F.lit("e"), F.lit("e\u0301"))
+    )
+    spelled = spelled.when(kind == "PROMO", F.concat(name, F.lit(" ﬁbroﬂuﬀ άλφα"))).otherwise(
+        F.concat(name, F.lit(" болезнь щё"))
+    )
+    return table(spark, sf_dir, "part").select("p_partkey", normalize_keyword(spelled).alias("keyword"))
+
+
 def term_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.expand_terms(_part_keywords(spark, sf_dir))
 
@@ -524,6 +615,22 @@ def keyword_hits_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyword_hits_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join with a dictionary taken as too large to broadcast."""
+    documents = _documents(spark, sf_dir)
+    hits = match.match_join(documents, concat_text(["text"]), _term_table(spark), max_broadcast_chars=0)
+    return _hit_output(hits)
+
+
+def shuffled_dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of ``documents`` in ``benchmark``, without a broadcast of the dictionary."""
+    words = _words(table(spark, sf_dir, "documents"), "text").withColumnRenamed("word", "term")
+    hits = match.match_join(
+        table(spark, sf_dir, "benchmark"), concat_text(["text"]), words, max_broadcast_chars=0
+    )
+    return hits.select("item_id", "total_count", "total_unique_count")
+
+
 def data_dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dictionary held as a table: the words of ``benchmark``, found in ``conversations``."""
     terms = _words(table(spark, sf_dir, "benchmark"), "text").withColumnRenamed("word", "term")
@@ -577,6 +684,14 @@ def cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.cooccurrence(_enriched(spark, sf_dir))
 
 
+#: rows in which a pair of terms has to occur
+PAIR_ROWS = 40
+
+
+def frequent_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.frequent_pairs(_enriched(spark, sf_dir), PAIR_ROWS)
+
+
 def category_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = F.array(F.struct(match.term_hits(concat_text(["text"]), TEXT_TERMS).alias("_hits")))
     return stats.category_frequency(
@@ -591,10 +706,33 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.column_stats(documents, ["doc_id", "lang", "source", "text"])
 
 
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles per source and language, stored and merged; estimates are held against exact figures."""
+    documents = table(spark, sf_dir, "documents").withColumn("lang", F.nullif(F.col("lang"), F.lit("de")))
+    columns = ["doc_id", "lang", "source", "text"]
+    parts = stats.column_sketches(documents, columns, F.concat_ws("/", "source", "lang"))
+    merged = stats.merged_profile(tb.write_table(parts, scratch_path(spark, "profile")))
+    exact = stats.column_stats(documents, columns).select("column_name", "distinct_count")
+    # Four standard errors; small numbers are exact to one.
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+    return merged.join(exact, "column_name").select(
+        "column_name",
+        "row_count",
+        "null_count",
+        "min_length",
+        "max_length",
+        (off <= F.greatest(F.lit(1), 0.08 * F.col("distinct_count"))).alias("distinct_within_error"),
+    )
+
+
 def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.dimensions(table(spark, sf_dir, "documents"))
 
 
+def terms_used(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stages.terms_used(tm.expand_terms(_part_keywords(spark, sf_dir)))
+
+
 def keywords_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     _, summary = stages.keywords(
@@ -635,6 +773,28 @@ def split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_stats(_enriched(spark, sf_dir), CUTOFF, "doc_id")
 
 
+def split_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of row places on both sides of the cutoff, for a table without an id of its own."""
+    documents = tb.read_with_positions(spark, f"{sf_dir}/documents.parquet").drop("doc_id")
+    enriched = match.match_regex(documents, concat_text(["text"]), TEXT_TERMS)
+    return split.split_stats(enriched, CUTOFF, "row_position")
+
+
+def column_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training columns that a table lacks are named, and the split is refused."""
+    documents = table(spark, sf_dir, "documents")
+    wanted = ["doc_id", "text", "absent", "flagged"]
+    try:
+        split.split_by_cutoff(documents, CUTOFF, wanted)
+        refused = False
+    except ValueError:
+        refused = True
+    missing = "|".join(split.missing_columns(documents, wanted))
+    return stats.dimensions(documents).select(
+        "rows", "columns", F.lit(missing).alias("missing"), F.lit(refused).alias("refused")
+    )
+
+
 def ml_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the configured dictionary plus the prose terms over three text columns."""
     config = StageConfig(
@@ -743,5 +903,17 @@ ALL: dict[str, Query] = {
         split_stats,
         preprocess_tables,
         preprocess_summary,
+        rejected_records,
+        typed_append,
+        drift_by_case,
+        absent_outcome,
+        keyword_scripts,
+        keyword_hits_shuffled,
+        shuffled_dictionary_hits,
+        frequent_pairs,
+        merged_profile,
+        terms_used,
+        split_positions,
+        column_guard,
     )
 }

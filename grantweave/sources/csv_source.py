@@ -8,36 +8,45 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantweave.functions.text import NULL_TOKENS, null_tokens
-from grantweave.operators.append import append_by_name, row_counts
-from grantweave.session import scratch_path
-from grantweave.sources import csv_records
-from grantweave.sources.tables import write_table
+from grantweave.operators.append import append_by_name
+from grantweave.sources.tables import REJECTED
 
 _BAD = "_unparsed_line"
+_SECOND = "_second_cell"
+_PATH = "_path_of_file"
+TOO_MANY_CELLS = "too many cells"
 
 # The byte-order mark, as itself and as Latin-1 shows its three bytes.
 BYTE_ORDER_MARKS = ("\ufeff", "ï»¿")
 
-#: how a file is parsed: in splits, in one task, or in splits with records put together
-SPLITS, WHOLE, RECORDS = "splits", "whole", "records"
-#: files from this size whose records span lines are read by :data:`RECORDS`
-LARGE_FILE = 256 * 1024**2
-#: longest record, in characters, that is put together from lines
-MAX_RECORD = 32 * 1024**2
+#: how a file is parsed: in splits, or in one task because its records span lines
+SPLITS, WHOLE = "splits", "whole"
+
+#: a line of white space alone is no record; quotes or a separator make it one
+_BLANK = r"^[\x00-\x20]*$"
 
 CSV_OPTIONS = {"encoding": "ISO-8859-1", "quote": '"', "escape": '"', "sep": ","}
 
 
+def count_char(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def separators(record: Column) -> Column:
+    """Cell separators of a record, those inside quotes not counted."""
+    plain = F.when(record.contains('"'), F.regexp_replace(record, '(?s)"[^"]*+"', "")).otherwise(record)
+    return count_char(plain, ",")
+
+
 @dataclass(frozen=True)
 class SourceFolder:
     """What the file listing says about one expected source."""
@@ -57,6 +66,8 @@ class SourceFile:
     raw_columns: tuple[str, ...]
     columns: tuple[str, ...]  # after renaming
     parse: str = WHOLE
+    #: cells of the header where the parser takes a line of white space before it for the header
+    header_row: tuple[str, ...] | None = None
 
 
 def list_folders(spark: SparkSession, root: str, sources: Sequence[str]) -> list[SourceFolder]:
@@ -116,10 +127,19 @@ def rename_header(columns: Sequence[str], names: Mapping[str, str]) -> tuple[str
 
 
 def _scan(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool
+    spark: SparkSession,
+    paths: Sequence[str],
+    columns: Sequence[str],
+    multi_line: bool,
+    header_row: Sequence[str] | None = None,
+    with_path: bool = False,
 ) -> DataFrame:
-    """All files that share one header. Short lines are padded, over-long lines dropped."""
-    fields = [T.StructField(c, T.StringType()) for c in [*columns, _BAD]]
+    """All records of files that share one header, with ``REJECTED``. Short ones are padded; an over-long one has
+    no cells, as it is not a row. With ``header_row``, records of just these cells are left out."""
+    # A record whose number of cells is not the schema's comes with its raw text. Of one column, that is what tells
+    # a blank line from a quoted blank cell, so there the schema has a second column no record should fill.
+    extra = [_SECOND] if len(columns) == 1 else []
+    fields = [T.StructField(c, T.StringType()) for c in [*columns, *extra, _BAD]]
     raw = (
         spark.read.options(**CSV_OPTIONS)
         .option("header", True)
@@ -131,56 +151,71 @@ def _scan(
         .schema(T.StructType(fields))
         .csv(list(paths))
     )
-    bad = F.col(_BAD)
-    # Spark refuses to count rows by the unparsed line alone, so a data column takes part.
-    some_cell = F.length(F.concat_ws("", F.col(f"`{columns[0]}`"))) >= 0
-    fits = bad.isNull() | (csv_records.separators(bad) < len(columns))
-    # A line of white space alone is a blank line, not a short record.
-    rest = [F.col(f"`{c}`").isNull() for c in columns[1:]]
-    blank = reduce(lambda a, b: a & b, rest, F.coalesce(F.col(f"`{columns[0]}`"), F.lit("x")).rlike(r"^\s+$"))
-    return raw.filter(fits & some_cell & ~blank).drop(_BAD)
-
-
-def _first_lines(spark: SparkSession, path: str) -> list[str]:
-    """The first two lines of a file that are not empty; reads no further."""
+    bad, first = F.col(_BAD), F.col(f"`{columns[0]}`")
+    # Spark refuses to read the unparsed text alone, so a data column takes part.
+    some_cell = F.length(F.concat_ws("", first)) >= 0
+    fits = F.coalesce(separators(bad) < len(columns), F.lit(not extra))
+    text = bad
+    if extra:
+        text = F.coalesce(bad, F.concat_ws(",", F.coalesce(first, F.lit("")), F.coalesce(_SECOND, F.lit(""))))
+    rejected = F.struct(
+        F.col("_metadata.file_path").alias("path"), text.alias("text"), F.lit(TOO_MANY_CELLS).alias("reason")
+    )
+    if header_row:
+        cells = [F.col(f"`{c}`").eqNullSafe(F.lit(h or None)) for c, h in zip(columns, header_row)]
+        raw = raw.filter(~reduce(lambda a, b: a & b, cells))
+    return raw.filter(some_cell & ~F.coalesce(bad.rlike(_BLANK), F.lit(False))).select(
+        *[F.when(fits, F.col(f"`{c}`")).alias(c) for c in columns],
+        F.when(~fits, rejected).alias(REJECTED),
+        *([F.col("_metadata.file_path").alias(_PATH)] if with_path else []),
+    )
+
+
+def rows_of(scanned: DataFrame) -> DataFrame:
+    """The records that are rows."""
+    return scanned.filter(F.col(REJECTED).isNull()).drop(REJECTED)
+
+
+def rejected_of(scanned: DataFrame) -> DataFrame:
+    """``(path, text, reason)`` of the records that are not."""
+    return scanned.filter(F.col(REJECTED).isNotNull()).select(f"{REJECTED}.*")
+
+
+def _line_facts(spark: SparkSession, paths: Sequence[str]) -> dict[str, Row]:
+    """Of each file: ``first``, its first line that is not blank; ``odd``, whether some line has an odd number of
+    quotes; ``counts``, how many lines have how many separators; ``after_space``, whether a line of white space comes
+    before the first. One job for all files, read in splits."""
     line = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    lines = spark.read.text(path).select(line.alias("line")).filter("trim(line) != ''")
-    return [r.line for r in lines.head(2)]
-
-
-def _look(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """The header of a file, or ``None`` if the file holds no data row."""
-    lines = _first_lines(spark, path)
-    if len(lines) < 2:
-        return None
-    if lines[0].count('"') % 2:  # a header that spans lines
-        scan = spark.read.options(**CSV_OPTIONS).option("multiLine", True)
-        header = clean_header(list(scan.csv(path).first()))
-    else:
-        header = clean_header(next(csv.reader([lines[0]])))
-        if not lines[1].count('"') % 2 and lines[1].count(",") < len(header):
-            return header
-    names = [f"c{i}" for i in range(len(header))]
-    return header if _scan(spark, [path], names, True).head(1) else None
-
-
-def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Files in which some line holds an odd number of quotes, so a record may span lines.
-
-    The check itself reads the files in splits. All other files can be parsed in splits too.
-    """
-    if not paths:
-        return set()
-    odd = csv_records.count_char(F.col("value"), '"') % 2 == 1
-    rows = (
-        spark.read.text(list(paths))
-        .select(F.col("_metadata.file_path").alias("path"), odd.alias("odd"))
-        .groupBy("path")
-        .agg(F.bool_or("odd").alias("odd"))
-        .filter("odd")
-        .collect()
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("id")).alias("place"),
+        line.alias("line"),
+    )
+    kind = F.when(F.col("line").rlike(_BLANK), F.lit(-1)).otherwise(separators(F.col("line")))
+    counted = (
+        lines.filter("line != ''")
+        .groupBy("path", kind.alias("separators"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct("place", "line")).alias("first"),
+            F.bool_or(count_char(F.col("line"), '"') % 2 == 1).alias("odd"),
+        )
     )
-    return {_tail(unquote(r.path)) for r in rows}
+    record = F.col("separators") >= 0
+    facts = counted.groupBy("path").agg(
+        F.min(F.when(record, F.col("first"))).alias("record"),
+        F.min(F.when(~record, F.col("first"))).alias("space"),
+        F.bool_or("odd").alias("odd"),
+        F.map_from_entries(F.collect_list(F.when(record, F.struct("separators", "n")))).alias("counts"),
+    )
+    facts = facts.filter("record is not null").select(
+        "path",
+        F.col("record.line").alias("first"),
+        "odd",
+        "counts",
+        F.coalesce(F.col("space.place") < F.col("record.place"), F.lit(False)).alias("after_space"),
+    )
+    return {_tail(unquote(r.path)): r for r in facts.collect()}
 
 
 def _tail(path: str) -> str:
@@ -188,35 +223,61 @@ def _tail(path: str) -> str:
     return path.split(":", 1)[-1].lstrip("/")
 
 
+def _files_with_rows(spark: SparkSession, files: Sequence[SourceFile]) -> set[str]:
+    """Of files that are parsed whole, those that hold a row. One job for each different number of columns."""
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        groups.setdefault((len(f.columns), f.header_row), []).append(f.path)
+    found = set()
+    for (width, header_row), paths in groups.items():
+        names = [f"c{i}" for i in range(width)]
+        rows = rows_of(_scan(spark, paths, names, True, header_row, with_path=True))
+        found |= {_tail(unquote(r[0])) for r in rows.select(_PATH).distinct().collect()}
+    return found
+
+
 def inspect_files(
     spark: SparkSession,
     folders: Sequence[SourceFolder],
     rename: Mapping[str, str] | None = None,
     multi_line: bool | None = None,
-    large_file: int = LARGE_FILE,
 ) -> list[SourceFile]:
     """Headers of all files that hold data rows; files without any are left out.
 
-    ``multi_line`` None finds out per file whether records span lines.
+    ``multi_line`` None finds out per file whether records span lines. The number of jobs does not depend on the
+    number of files, but for headers that span lines.
     """
     listed = [(f.source, path, size) for f in folders for path, size in f.files]
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda entry: _look(spark, entry[1]), listed))
-    found = [
-        SourceFile(source, path, size, header, rename_header(header, rename or {}))
-        for (source, path, size), header in zip(listed, headers)
-        if header is not None
-    ]
-    if multi_line is not None:
-        return [replace(f, parse=WHOLE if multi_line else SPLITS) for f in found]
-    spanning = files_with_quoted_newlines(spark, [f.path for f in found])
-
-    def choose(f: SourceFile) -> str:
-        if _tail(f.path) not in spanning:
-            return SPLITS
-        return RECORDS if f.size >= large_file else WHOLE
-
-    return [replace(f, parse=choose(f)) for f in found]
+    facts = _line_facts(spark, [path for _, path, _ in listed]) if listed else {}
+    found, unsure = [], []
+    for source, path, size in listed:
+        fact = facts.get(_tail(path))
+        if fact is None or sum(fact.counts.values()) < 2:
+            continue
+        if fact.first.count('"') % 2:
+            scan = spark.read.options(**CSV_OPTIONS).option("multiLine", True)
+            cells = list(scan.csv(path).first())
+        else:
+            cells = next(csv.reader([fact.first]))
+        header = clean_header(cells)
+        whole = fact.odd if multi_line is None else multi_line
+        file = SourceFile(
+            source,
+            path,
+            size,
+            header,
+            rename_header(header, rename or {}),
+            WHOLE if whole else SPLITS,
+            tuple(cells) if whole and fact.after_space else None,
+        )
+        if fact.odd:
+            unsure.append(file)
+        elif sum(n for separators, n in fact.counts.items() if separators < len(header)) < 2:
+            continue  # all other lines are too long
+        found.append(file)
+    with_rows = _files_with_rows(spark, unsure) if unsure else set()
+    without = {f.path for f in unsure if _tail(f.path) not in with_rows}
+    return [f for f in found if f.path not in without]
 
 
 def rename_audit(
@@ -232,25 +293,22 @@ def rename_audit(
     return spark.createDataFrame(rows, "source string, file string, old string, new string")
 
 
-def _scan_records(
-    spark: SparkSession, paths: list[str], columns: Sequence[str], max_record: int = MAX_RECORD
+def scan_source(
+    spark: SparkSession,
+    files: Sequence[SourceFile],
+    tokens: Sequence[str] = NULL_TOKENS,
 ) -> DataFrame:
-    """Large files by records. Lines and records are stored, as each is checked before it is used;
-    files in which counting quotes proves nothing are read whole."""
-    started = write_table(
-        csv_records.with_record_start(csv_records.file_lines(spark, paths)),
-        scratch_path(spark, "lines"),
-    )
-    bad = csv_records.oversized_files(started, max_record)
-    records = write_table(
-        csv_records.assemble_records(started.filter(~F.col("path").isin(*bad))),
-        scratch_path(spark, "records"),
-    )
-    bad |= csv_records.irregular_files(records)
-    parsed = csv_records.parse_records(records.filter(~F.col("path").isin(*bad)), columns)
-    tails = {_tail(unquote(p)) for p in bad}
-    whole = [p for p in paths if _tail(p) in tails]
-    return parsed.unionByName(_scan(spark, whole, columns, True)) if whole else parsed
+    """All records of one source appended by column name, every column text, with ``REJECTED``.
+
+    Files with the same header share one scan. Missing-value spellings become null here, once.
+    """
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        groups.setdefault((f.columns, f.parse == WHOLE, f.header_row), []).append(f.path)
+    scans = [_scan(spark, paths, columns, whole, row) for (columns, whole, row), paths in groups.items()]
+    table = append_by_name(scans)
+    cells = [null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in table.columns if c != REJECTED]
+    return table.select(*cells, REJECTED)
 
 
 def read_source(
@@ -258,40 +316,33 @@ def read_source(
     files: Sequence[SourceFile],
     tokens: Sequence[str] = NULL_TOKENS,
 ) -> DataFrame:
-    """All files of one source appended by column name, every column text.
+    """The rows of one source; over-long records are left out, see :func:`scan_source`."""
+    return rows_of(scan_source(spark, files, tokens))
 
-    Files with the same header share one scan. Missing-value spellings become null here, once.
-    """
-    groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
-    for f in files:
-        groups.setdefault((f.columns, f.parse), []).append(f.path)
-    scans = [
-        _scan_records(spark, paths, columns)
-        if parse == RECORDS
-        else _scan(spark, paths, columns, parse == WHOLE)
-        for (columns, parse), paths in groups.items()
+
+def scan_counts(spark: SparkSession, scanned: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """Rows and rejected records of each source, in one job."""
+    parts = [
+        df.agg(
+            F.count_if(F.col(REJECTED).isNull()).alias("rows"), F.count_if(F.col(REJECTED).isNotNull()).alias("rejected")
+        ).select(F.lit(source).alias("source"), "rows", "rejected")
+        for source, df in scanned.items()
     ]
-    table = append_by_name(scans)
-    return table.select(*[null_tokens(F.col(f"`{c}`"), tokens).alias(c) for c in table.columns])
+    return {r.source: (r.rows, r.rejected) for r in reduce(DataFrame.union, parts).collect()} if parts else {}
 
 
-def load_audit(tables: Mapping[str, DataFrame], files: Sequence[SourceFile]) -> DataFrame:
-    """Per source: files with data, rows, input bytes."""
-    spark = next(iter(tables.values())).sparkSession
+def load_audit(
+    spark: SparkSession, files: Sequence[SourceFile], counts: Mapping[str, tuple[int, int]]
+) -> DataFrame:
+    """Per source: files with data, rows, records left out, input bytes. ``counts`` has rows and rejected records."""
     facts: dict[str, list[int]] = {}
     for f in files:
         fact = facts.setdefault(f.source, [0, 0])
         fact[0] += 1
         fact[1] += f.size
-    listed = spark.createDataFrame(
-        [(s, n, size) for s, (n, size) in facts.items()],
-        "source string, file_count bigint, total_bytes bigint",
-    )
-    return listed.join(F.broadcast(row_counts(spark, tables)), "source", "left").select(
-        "source",
-        "file_count",
-        F.coalesce("total_rows", F.lit(0)).cast("bigint").alias("total_rows"),
-        "total_bytes",
+    return spark.createDataFrame(
+        [(s, n, *counts.get(s, (0, 0)), size) for s, (n, size) in facts.items()],
+        "source string, file_count bigint, total_rows bigint, rejected_records bigint, total_bytes bigint",
     )
 
 

@@ -3,6 +3,8 @@
 import dataclasses
 import json
 import random
+from collections import Counter
+from itertools import combinations
 
 import pandas as pd
 import pytest
@@ -10,13 +12,14 @@ from pyspark.sql import functions as F
 
 from grantweave.functions.pattern import term_pattern
 from grantweave.functions.text import concat_text, fold_accents, normalize_key, normalize_keyword
+from grantweave.functions.translit import sequences, spellings
 from grantweave.functions.variants import variant_terms
 from grantweave.operators import append as ap
 from grantweave.operators import match, outcomes, split, stats
 from grantweave.operators import terms as tm
+from grantweave.operators import types as ty
 from grantweave.plans import DEFAULT_CONFIG, StageConfig, keywords, metrics, mlexport, preprocess
-from grantweave.plans.stages import config_terms, export_stage_csv, linked_outcomes
-from grantweave.sources import csv_records
+from grantweave.plans.stages import config_terms, export_stage_csv, linked_outcomes, terms_used
 from grantweave.sources import csv_source as cs
 from grantweave.sources import tables as tb
 
@@ -375,47 +378,119 @@ def _span_lines(pick, source):
     return ["ID,U,W", *lines[:5], "", *lines[5:]]
 
 
-def test_large_files_are_read_by_record(spark, tmp_path):
-    pick = random.Random(3)
-    for i, end in enumerate(["\n", "\r\n", "\n"]):
-        lines = _span_lines(pick, i)
-        if i == 2:
-            lines.insert(9, '7,5" pipe,a "word"')  # quotes inside a cell: not countable
-        text = "\n".join(lines) if end == "\n" else end.join(lines)
-        _write(tmp_path / "S" / f"f {i}.csv", (text + end).encode("latin1"))
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_blank_lines_in_every_parser(spark, tmp_path, end):
+    """Leading blank lines, lines of spaces, and cells of spaces: one answer, however the file is parsed."""
+    lines = ["", " ", "K,V", "1,b", "   ", "2,c", "\t", "3", "4,d,EXTRA", "  ,", '" ",', '" "']
+    _write(tmp_path / "S" / "f.csv", (end.join(lines) + end).encode("latin1"))
     folders = cs.list_folders(spark, str(tmp_path), ["S"])
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
-    try:
-        by_record = cs.inspect_files(spark, folders, large_file=0)
-        assert {f.parse for f in by_record} == {cs.RECORDS}
-        paths = [f.path for f in by_record]
-        lines = csv_records.file_lines(spark, paths)
-        assert lines.select("path", "split").distinct().count() > 10
-        records = csv_records.assemble_records(csv_records.with_record_start(lines))
-        assert {p[-5] for p in csv_records.irregular_files(records)} == {"2"}
-        whole = cs.inspect_files(spark, folders, multi_line=True)
-        ours, theirs = cs.read_source(spark, by_record), cs.read_source(spark, whole)
-        assert ours.count() > 100
-        assert ours.exceptAll(theirs).count() == 0
-        assert theirs.exceptAll(ours).count() == 0
-        short = cs._scan_records(spark, paths, ["ID", "U", "W"], max_record=10)
-        plain = cs._scan(spark, paths, ["ID", "U", "W"], True)
-        assert short.exceptAll(plain).count() == plain.exceptAll(short).count() == 0
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = [("1", "b"), ("2", "c"), ("3", None), ("  ", None), (" ", None), (" ", None)]
+    for multi_line in (True, False, None):
+        files = cs.inspect_files(spark, folders, multi_line=multi_line)
+        rows = [tuple(r) for r in cs.read_source(spark, files).collect()]
+        assert sorted(rows, key=str) == sorted(expected, key=str), multi_line
 
 
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
-def test_blank_lines_in_every_parser(spark, tmp_path, end):
-    """Leading blank lines, a line of spaces and a quoted line break: one answer, whatever reads the file."""
-    lines = ["", "", "K,V", "1,\"a", "b\"", "   ", "2,c", "", "3", "4,d,EXTRA"]
-    _write(tmp_path / "S" / "f.csv", (end.join(lines) + end).encode("latin1"))
+def test_one_column_keeps_quoted_white_space(spark, tmp_path):
+    _write(tmp_path / "S" / "f.csv", b'K\n1\n" "\n  \n\n2,\n"3,4"\n"  "\n')
+    folders = cs.list_folders(spark, str(tmp_path), ["S"])
+    for multi_line in (True, False):
+        scanned = cs.scan_source(spark, cs.inspect_files(spark, folders, multi_line=multi_line))
+        assert sorted(r.K for r in cs.rows_of(scanned).collect()) == [" ", "  ", "1", "3,4"]
+        assert [(r.text.strip(), r.reason) for r in cs.rejected_of(scanned).collect()] == [("2,", "too many cells")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_parsers_agree_on_random_cells(spark, tmp_path, seed):
+    """Files without line breaks in cells give the same rows and rejected records in splits and as a whole."""
+    pick = random.Random(seed)
+    cells = ["", "a", " ", "  b", '"q"', '""', '" "', '"x, y"', '"d""e"', "NA", "caf\xe9", "\t"]
+    ends = pick.choice(["\n", "\r\n", "\r"])
+    lines = [",".join(pick.choice(cells) for _ in range(pick.randrange(1, 5))) for _ in range(80)]
+    _write(tmp_path / "S" / "f.csv", ends.join(["K,U,V", *lines, ""]).encode("latin1"))
     folders = cs.list_folders(spark, str(tmp_path), ["S"])
-    expected = {("1", "a\nb"), ("2", "c"), ("3", None)}
-    for options in ({"large_file": 0}, {"multi_line": True}, {}):
-        files = cs.inspect_files(spark, folders, **options)
-        rows = {tuple(r) for r in cs.read_source(spark, files).collect()}
-        assert {(k, v and v.replace("\r\n", "\n")) for k, v in rows} == expected, options
+    found = []
+    for multi_line in (True, False):
+        scanned = cs.scan_source(spark, cs.inspect_files(spark, folders, multi_line=multi_line))
+        rows = sorted((tuple(r) for r in cs.rows_of(scanned).collect()), key=str)
+        found.append((rows, sorted(r.text.strip("\r\n") for r in cs.rejected_of(scanned).collect())))
+    assert found[0] == found[1]
+    assert len(found[0][0]) + len(found[0][1]) == sum(bool(x.strip()) for x in lines)
+
+
+def test_header_scan_needs_one_job(spark, tmp_path):
+    _write(tmp_path / "S" / "empty.csv", b"")
+    _write(tmp_path / "S" / "header.csv", b"K,V\n\n  \n")
+    _write(tmp_path / "S" / "long.csv", b"K,V\n1,2,3\n4,5,\n")
+    _write(tmp_path / "S" / "spanning long.csv", b'K,V\n"1\n2",2,3\n')
+    _write(tmp_path / "S" / "spanning.csv", b'K,V\n"1\n2",2,3\n"4\n",5\n')
+    _write(tmp_path / "S" / "broken header.csv", b'"K\nL",V\n1,2\n')
+    folders = cs.list_folders(spark, str(tmp_path), ["S"])
+    found = {f.path.rsplit("/", 1)[1]: (f.columns, f.parse) for f in cs.inspect_files(spark, folders)}
+    assert found == {
+        "spanning.csv": (("K", "V"), cs.WHOLE),
+        "broken%20header.csv" if "broken%20header.csv" in found else "broken header.csv": (("K\nL", "V"), cs.WHOLE),
+    }
+    jobs = []
+    for n in (2, 30):
+        for i in range(n):
+            _write(tmp_path / f"T{n}" / f"f{i}.csv", b"K,V\n1,2\n")
+        folders = cs.list_folders(spark, str(tmp_path), [f"T{n}"])
+        spark.sparkContext.setJobGroup(f"headers {n}", "headers")
+        try:
+            assert len(cs.inspect_files(spark, folders)) == n
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers {n}")))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] <= 3  # the stages of one query
+
+
+def test_rejected_records_are_stored_and_counted(spark, tmp_path):
+    _write(tmp_path / "raw" / "PRJ" / "a.csv", b'A,B\n1,x\n2,y,z\n"3\n4",q,r\n5\n')
+    _write(tmp_path / "raw" / "PUB" / "b.csv", b"C\n1\n")
+    for output in (None, str(tmp_path / "out")):
+        tables, summary = preprocess(spark, str(tmp_path / "raw"), output=output)
+        assert _rows(tables["PRJ"]) == {("1", "x"), ("5", None)}
+        load = {r.source: (r.total_rows, r.rejected_records) for r in summary.first().initial_load}
+        assert load == {"PRJ": (2, 2), "PUB": (1, 0)}
+    stored = tb.read_snapshot(spark, str(tmp_path / "out"), ["PRJ", "PUB"])
+    assert _rows(stored["PRJ"]) == {("1", "x"), ("5", None)} and stored["PUB"].columns == ["C"]
+    rejected = tb.read_rejected(spark, str(tmp_path / "out"), "PRJ").collect()
+    assert {r.text.strip() for r in rejected} == {"2,y,z", '"3\n4",q,r'}
+    assert all(r.path.endswith("a.csv") and r.reason == "too many cells" for r in rejected)
+
+
+@pytest.mark.parametrize(
+    "values, kind",
+    [
+        (["1", "-2", None, "007"], "bigint"),
+        (["1", "2.5"], "double"),
+        ([".5", "1e3", "-4."], "double"),
+        (["1", "x"], "string"),
+        (["1d", "2f"], "string"),
+        (["True", "false"], "boolean"),
+        (["True", "1"], "string"),
+        (["99999999999999999999"], "string"),
+        (["99999999999999999999", "1.5"], "string"),
+        (["NaN", "1"], "string"),
+        ([None, None], "string"),
+    ],
+)
+def test_column_types(spark, values, kind):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    found = ty.column_types(df)
+    assert found == {"v": kind}
+    cast = ty.typed(df, found)
+    assert cast.schema["v"].dataType.simpleString() == kind
+    assert cast.filter("v is null").count() == values.count(None)
+
+
+def test_types_are_agreed_on_over_files(spark, tmp_path):
+    _write(tmp_path / "PRJ" / "a.csv", b"ID,N,T\n1,2,3\n")
+    _write(tmp_path / "PRJ" / "b.csv", b"ID,N,T\n4,5.5,x\n,NA,\n")
+    tables, _ = preprocess(spark, str(tmp_path), StageConfig(infer_types=True))
+    assert [f.dataType.simpleString() for f in tables["PRJ"].schema] == ["bigint", "double", "string"]
+    assert _rows(tables["PRJ"]) == {(1, 2.0, "3"), (4, 5.5, "x"), (None, None, None)}
 
 
 def test_names_that_differ_by_case(spark, tmp_path):
@@ -460,6 +535,8 @@ def test_schema_drift():
     assert drift.skipped
     assert not ap.schema_drift([["K", "V"], ["K", "Z"]], force_append=True).skipped
     assert not ap.schema_drift([["K"], ["K"]], force_append=False).skipped
+    by_case = ap.schema_drift([["id", "Name"], ["id", "NAME"]], force_append=False)
+    assert by_case.all_columns == ("id", "Name") and not by_case.unexpected and not by_case.skipped
 
 
 def _source_tree(root):
@@ -533,7 +610,7 @@ def test_four_stages(spark, tmp_path):
     assert row["enrichment_metrics"]["total_keyword_hits"] == 3
     assert row["enrichment_metrics"]["rows_with_hits_pct"] == 50.0
     assert [t["term"] for t in row["top_flagged_terms"]] == ["aso", "crispr", "gene therapy"]
-    assert {len(r["terms"]) for r in row["terms_used"]} == {21, 159}
+    assert {r["terms"] for r in row["keyword_library"] if r["category"] != "pool"} == {21, 159}
     retained, dropped, figures = mlexport(enriched, output=str(tmp_path / "s4"))
     assert {r.APPLICATION_ID for r in retained.collect()} == {"1", "A1"}
     assert {r.APPLICATION_ID for r in dropped.collect()} == {"2", "5"}
@@ -610,7 +687,91 @@ def test_mlexport_summary_does_not_match_again(spark, sample_texts, sample_terms
         assert dropped.count() == expected[1].count()
 
 
-def test_keywords_summary_lists_terms_of_any_number(spark, sample_texts):
+def test_terms_used_is_a_table_of_any_size(spark, sample_texts):
     many = spark.range(6_000).select(F.lit("c").alias("category"), F.concat(F.lit("t"), "id").alias("term"))
     _, summary = keywords(sample_texts, StageConfig(text_columns=("text",)), terms=many)
-    assert len(summary.first().terms_used[0].terms) == 6_000
+    assert "terms_used" not in summary.columns
+    assert {(r.category, r.terms) for r in summary.first().keyword_library} == {("c", 6_000), ("pool", 6_000)}
+    assert terms_used(many.union(many)).count() == 6_000
+
+
+def _transliterated(text):
+    """The longest sequence first, code point by code point."""
+    table, longer = spellings(), sequences()
+    out, i = "", 0
+    while i < len(text):
+        for n in range(3, 0, -1):
+            part = text[i : i + n]
+            if len(part) == n and (part in longer or (n == 1 and part in table)):
+                out += table[longer.get(part, part)]
+                i += n
+                break
+        else:
+            out += text[i]
+            i += 1
+    return out
+
+
+def test_transliteration(spark):
+    table = spellings()
+    assert len(table) > 3_000 and all(v.isascii() for v in table.values())
+    texts = [f"x{c}{v}y" for c, v in table.items()] + [f"{s}и" for s in sequences()]
+    pick = random.Random(1)
+    letters = [*table, *sequences(), "a", " ", "病", "\u0301"]
+    texts += ["".join(pick.choice(letters) for _ in range(20)) for _ in range(300)]
+    df = spark.createDataFrame([(t, _transliterated(t)) for t in texts], "t string, e string")
+    assert df.filter(~fold_accents(F.col("t")).eqNullSafe(F.col("e"))).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("άλφα", "alpha"), ("болезнь", "bolezn'"), ("ﬁbrosis", "fibrosis"), ("Щёлково", "Shchiolkovo"),
+        ("е\u0308", "io"), ("Ἀθήνα", "Athena"), ("𝐀𝟏", "A1"), ("½ ㎏", "1/2 kg"), ("病気 ok", "病気 ok"),
+        ("´", "´"), ("a\U0010f000b é", "ab e"), (None, None), ("", ""),
+    ],
+)
+def test_transliterated_words(spark, text, expected):
+    assert spark.createDataFrame([(text,)], "t string").select(fold_accents(F.col("t"))).first()[0] == expected
+
+
+@pytest.mark.parametrize("min_rows", [1, 3, 6, 50])
+def test_frequent_pairs(spark, min_rows):
+    pick = random.Random(min_rows)
+    rows = [[pick.choice("abcdefgh") for _ in range(pick.randrange(5))] for _ in range(60)]
+    df = spark.createDataFrame([(r,) for r in rows] + [(None,)], "flagged array<string>")
+    expected = Counter(p for r in rows for p in combinations(sorted(set(r)), 2))
+    found = stats.frequent_pairs(df, min_rows).collect()
+    assert {(r.term_a, r.term_b): r.row_count for r in found} == {p: n for p, n in expected.items() if n >= min_rows}
+
+
+def test_profiles_merge_within_their_error(spark):
+    df = spark.range(20_000).select(
+        (F.col("id") % 4).cast("string").alias("year"),
+        (F.col("id") % 7_000).alias("k"),
+        F.when(F.col("id") % 3 > 0, F.repeat(F.lit("x"), (F.col("id") % 100).cast("int"))).alias("t"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    parts = stats.column_sketches(df, ["k", "t", "none"], "year")
+    assert parts.count() == 12
+    merged = {r.column_name: r for r in stats.merged_profile(parts).collect()}
+    assert abs(merged["k"].distinct_estimate - 7_000) < 0.08 * 7_000
+    assert abs(merged["t"].distinct_estimate - 100) <= 2 and 45 <= merged["t"].median_length <= 55
+    assert (merged["t"].row_count, merged["t"].null_count) == (20_000, 6_667)
+    assert (merged["none"].distinct_estimate, merged["none"].median_length) == (0, None)
+    whole = stats.merged_profile(stats.column_sketches(df, ["k"])).first()
+    assert whole.distinct_estimate == merged["k"].distinct_estimate
+
+
+def test_row_positions(spark, tmp_path):
+    spark.range(0, 1_000, 1, 7).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        placed = tb.read_with_positions(spark, str(tmp_path / "t"))
+        assert placed.filter("id != row_position").count() == 0 and placed.count() == 1_000
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    assert tb.read_with_positions(spark, str(tmp_path / "none")).count() == 0
