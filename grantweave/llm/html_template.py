@@ -50,6 +50,11 @@ ASIDE_WORDS = {
     "main-navigation", "nav-links", "nav-menu", "post-navigation", "related-articles", "related-posts", "share-buttons",
     "site-footer", "site-header", "site-navigation", "social-links", "social-share", "widget-area",
 }
+#: parts of a compound name, such as ``sidebar-left``, that mark it, and first parts that say another thing
+ASIDE_PARTS = {
+    "ad", "ads", "advert", "breadcrumb", "breadcrumbs", "comments", "cookie", "cookies", "menu", "nav", "navigation", "sidebar",
+}
+NOT_ITSELF = {"has", "is", "no", "with", "without"}
 #: the ids of headings and sections are mostly slugs of their titles; of a section, only these count
 SECTION_IDS = {
     "comments", "comments-area", "disqus", "disqus_thread", "footer", "header", "masthead", "nav", "navbar", "navigation", "respond", "sidebar",
@@ -60,18 +65,29 @@ MAIN_WORDS = {
     "page-content", "post-body", "post-content", "story-body",
 }
 
+#: the attributes of a tag: a ``>`` in a quoted value does not end it, and a quote that is never closed is an ordinary
+#: character
+_INSIDE = r"""(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*?"""
+#: names go on after a hyphen or colon, so ``svg-icon`` is not ``svg``; an element that closes itself has no content
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(RAW)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)([^>]*)>"
+    rf"|<svg(?![\w:-]){_INSIDE}/>"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?![\w:-]){_INSIDE}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-z][\w:-]*)(?P<inside>{_INSIDE})>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
 _attribute = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _words = re.compile(r"[a-z]+")
+_parts = re.compile(r"[-_]+")
 _space = re.compile(r"\s+")
 
 
+def _aside_compound(name: str) -> bool:
+    parts = _parts.split(name)
+    return len(parts) > 1 and parts[0] not in NOT_ITSELF and not ASIDE_PARTS.isdisjoint(parts)
+
+
 class Element:
     """An open element: what it is called in paths, whether it is the article or stands beside it.
 
@@ -95,7 +111,7 @@ class Element:
         self.path = (parent.path if parent else "") + "/" + ".".join([name, *sorted(marks)])
         self.parent = parent
         self.beside = name in ASIDE
-        self.marked = name not in ("html", "body") and not ASIDE_WORDS.isdisjoint(names)
+        self.marked = name not in ("html", "body") and (not ASIDE_WORDS.isdisjoint(names) or any(map(_aside_compound, names)))
         self.aside = bool(parent and parent.aside) or self.beside or self.marked
         self.main = name in ("article", "main") or (name in ("div", "section") and not MAIN_WORDS.isdisjoint(names))
 
@@ -119,12 +135,12 @@ def read(page: str) -> Iterator[tuple[str, Element | None, str]]:
         if m.start() > at:
             yield "text", top(), page[at : m.start()]
         at = m.end()
-        name = (m[3] or "").lower()
+        name = (m["name"] or "").lower()
         if name in ("br", "hr"):
             yield ("text", top(), " ") if name == "br" else ("break", top(), "")
         if not name or name in VOID or name in INLINE:
             continue
-        if m[2]:
+        if m["end"]:
             where = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].name == name), None)
             if where is not None:
                 yield "close", stack[where], ""
@@ -135,7 +151,7 @@ def read(page: str) -> Iterator[tuple[str, Element | None, str]]:
             # A paragraph ends where any block begins, an item where the next of its kind does.
             if stack and (stack[-1].name == "p" or stack[-1].name == name and name in SELF_CLOSING):
                 stack.pop()
-            stack.append(Element(name, m[4] or "", top()))
+            stack.append(Element(name, m["inside"], top()))
             yield "open", stack[-1], ""
     if at < len(page):
         yield "text", top(), page[at:]

@@ -177,6 +177,24 @@ def test_no_article_is_dropped():
     assert main_text('<article>a</article><section id="comments"><article>x</article></section>', None) == "a"
 
 
+@pytest.mark.parametrize(
+    "inside",
+    [
+        '<a title="a > b">a</a><p>b', "<img alt='x > y' src=z>a<p>b", '<svg-icon name="x"></svg-icon>a<p>b', "<title-bar>a</title-bar><p>b",
+        "<object-card>a</object-card><p>b", '<svg class="i" width="1"/>a<p>b', "<svg><path d='x'/><title>no</title></svg>a<p>b",
+        '<p title="unclosed>a<p>b', '<script>if (a > b) "x"</script>a<p>b', "<p data-x='1 > 0' class=\"y\">a</p>b",
+    ],
+)
+def test_tags_end_where_they_end(inside):
+    assert main_text(f"<article>{inside}</article>", None) == "a\nb"
+
+
+def test_compound_names_beside_the_article():
+    for name in ("sidebar-left", "left-menu", "nav-list", "ad-box", "user-comments", "site_nav"):
+        assert main_text(f'<div><p>a</p></div><div class="{name}">no</div><div><p>b</p></div>', None) == "a\nb", name
+    assert main_text('<div class="has-sidebar"><p>a</p></div><div class="no-menu"><p>b</p></div>', None) == "a\nb"
+
+
 # --- segmentation ----------------------------------------------------------------------------
 
 
