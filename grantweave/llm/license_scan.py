@@ -116,20 +116,32 @@ def telling(found: Column) -> Column:
     return F.filter(F.zip_with(F.slice(found, 1, n), F.slice(found, 2, n), hashed), lambda x: x.isNotNull())
 
 
-def band_values(hashes: Column, step: int) -> Column:
-    """The band values of the windows at every ``step`` shingles, with the band's number in the lowest bits."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes), F.lit(1)), F.lit(step))
+def orders(hashes: Column) -> Column:
+    """The shingles in the order of each band: one array per band. Overlapping windows share them."""
+
+    def order(seed: int) -> Column:
+        return F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(seed)))
+
+    return F.array(*map(order, _SEEDS))
+
+
+def band_values(ordered: str, step: int) -> Column:
+    """The band values of the windows at every ``step`` shingles, with the band's number in the lowest bits.
+
+    ``ordered`` names a column with the ``orders`` of the shingles; an expression would be computed per window.
+    """
+    size = F.size(F.get(F.col(ordered), F.lit(0)))
+    starts = F.sequence(F.lit(1), F.greatest(size, F.lit(1)), F.lit(step))
 
     def band(k: int) -> Column:
-        seed = F.lit(_SEEDS[k])
         return F.transform(
             starts,
-            lambda i: F.array_min(F.transform(F.slice(hashes, i, WINDOW), lambda x: x.bitwiseXOR(seed)))
+            lambda i: F.array_min(F.slice(F.get(F.col(ordered), F.lit(k)), i, WINDOW))
             .bitwiseAND(F.lit(~_TAG))
             .bitwiseOR(F.lit(k)),
         )
 
-    return F.when(F.size(hashes) > 0, F.concat(*[band(k) for k in range(BANDS)])).otherwise(F.array().cast("array<bigint>"))
+    return F.when(size > 0, F.concat(*[band(k) for k in range(BANDS)])).otherwise(F.array().cast("array<bigint>"))
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -141,7 +153,8 @@ def notices(spark: SparkSession, texts: dict[str, str]) -> list[tuple[str, list[
     """Name, shingles, telling shingles and band values of every notice; as many rows as notices."""
     table = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("text")) for k, v in texts.items()])).alias("n"))
     table = table.select("n.name", F.array_distinct(pairs(words(F.col("n.text")))).alias("hashes"), telling(words(F.col("n.text"))).alias("telling"), pairs(words(F.col("n.text"))).alias("all"))
-    rows = table.select("name", "hashes", "telling", F.array_distinct(band_values(F.col("all"), 1)).alias("bands")).collect()
+    table = _once(table, "_ordered", orders(F.col("all")))
+    rows = table.select("name", "hashes", "telling", F.array_distinct(band_values("_ordered", 1)).alias("bands")).collect()
     return [(r.name, r.hashes, r.telling, r.bands) for r in rows]
 
 
@@ -159,7 +172,8 @@ def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rows = docs.select(F.col(f"`{id_column}`"), text_or_empty(text_column).alias("_text"))
     rows = _once(rows, "_words", words(F.col("_text"))).drop("_text")
     rows = _once(rows, "_hashes", pairs(F.col("_words"))).drop("_words")
-    rows = _once(rows, "_bands", band_values(F.col("_hashes"), STEP))
+    rows = _once(rows, "_ordered", orders(F.col("_hashes")))
+    rows = _once(rows, "_bands", band_values("_ordered", STEP)).drop("_ordered")
 
     def found(name: str, hashes: list[int], must: list[int], bands: list[int]) -> Column:
         wanted, need, n = longs(hashes), -(-MIN_CONTAINED_PERCENT * len(hashes) // 100), len(hashes)
