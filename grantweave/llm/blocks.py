@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grantweave.llm.tables import parts_for
 
@@ -36,11 +37,19 @@ MESSAGE_ARROW = pa.schema(
 )
 
 
+def require_integers(docs: DataFrame, id_column: str) -> None:
+    """Ids are compared as 64-bit integers; others are refused before any work."""
+    kind = docs.schema[id_column].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise ValueError(f"{id_column} must be an integer column, not {kind.simpleString()}")
+
+
 def in_blocks(docs: DataFrame, id_column: str) -> tuple[DataFrame, int]:
     """``docs`` with a column ``BLOCK`` that grows with the id, and the number of blocks.
 
     Null ids count as the largest.
     """
+    require_integers(docs, id_column)
     n = parts_for(docs, BLOCK_BYTES)
     shares = [i / n for i in range(1, n)]
     cuts = docs.agg(

@@ -151,16 +151,23 @@ def exact_duplicates(
 
 
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns unchanged."""
-    verdicts = stored(exact_duplicates(docs, id_column, text_column), "verdicts")
-    kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id"))
-    again = verdicts.groupBy(id_column).count().filter("count > 1").limit(1)
-    out = docs.join(kept.distinct(), F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
-    if again.isEmpty():
-        return out
-    # Some id is repeated: its rows with equal texts are copies of each other.
-    return (
-        out.withColumn("_sha", F.sha2(normalized(text_column), 256))
-        .dropDuplicates([id_column, "_sha"])
-        .drop("_sha")
+    """``docs`` with one row of each group of equal texts, all columns unchanged.
+
+    Of a group the row with the smallest id stays, null ids last. Rows are told by id and text, so repeated ids
+    keep each their own texts; of rows that repeat both, one stays. Null texts count as empty; an empty table gives no
+    rows; extra columns may have any name.
+    """
+    verdicts = exact_duplicates(docs, id_column, text_column)
+    kept = stored(verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("id"), "text_sha256"), "kept")
+    # One row of each id and text, whatever the columns of the input are called.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_column}`").alias("own_id"),
+        F.sha2(normalized(text_column), 256).alias("own_sha256"),
     )
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_sha256") == F.col("text_sha256"))
+    out = rows.join(kept, same, "left_semi")
+    again = docs.groupBy(f"`{id_column}`").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
+    if not again.isEmpty():
+        out = out.dropDuplicates(["own_id", "own_sha256"])
+    return out.select("row.*")

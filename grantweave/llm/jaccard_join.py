@@ -348,10 +348,30 @@ def _relabelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_near_copies(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
-    """``docs`` with one row of each component, that with the smallest id; all columns unchanged.
+    """``docs`` with one row of each component, that with the smallest id, null ids last; all columns unchanged.
 
-    Of rows that repeat an id with different texts, all stay if one does.
+    Rows are documents of their own, also if they repeat an id; of equal ids the row stored first stays. Texts
+    without shingles are linked with nothing and stay. An empty table gives no rows. Ids are integers.
     """
-    verdicts = stored(jaccard_components(docs, id_column, text_column, width, percent), "verdicts")
-    kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("_kept_id")), "left_semi")
+    bl.require_integers(docs, id_column)
+    own = F.col(f"`{id_column}`")
+    repeated = docs.groupBy(own.alias("id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
+    if repeated.isEmpty():
+        verdicts = stored(jaccard_components(docs, id_column, text_column, width, percent), "verdicts")
+        kept = verdicts.filter("kept").select(F.col(f"`{id_column}`").alias("_kept_id"))
+        return docs.join(kept, own.eqNullSafe(F.col("_kept_id")), "left_semi")
+    # Ids do not tell rows apart, so rows are numbered; the stored table keeps the numbers.
+    rows = stored(
+        docs.select(
+            F.monotonically_increasing_id().alias("number"),
+            own.alias("id"),
+            F.col(f"`{text_column}`").alias("text"),
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        ),
+        "rows",
+    )
+    found = jaccard_components(rows.select("number", "text"), "number", "text", width, percent)
+    members = stored(found.select("number", "component_id"), "members").join(rows.select("number", "id"), "number")
+    order = F.struct(F.col("id").isNull(), "id", "number")
+    kept = members.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.number").alias("number"))
+    return rows.join(kept, "number", "left_semi").select("row.*")

@@ -176,7 +176,7 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     A word is removed if a window of 13 words over it, in this document, also starts in a document
     with a smaller id. Null and short texts lose nothing. Rows that repeat an id do not remove each
-    other's words; null ids count as the largest. An empty table gives no rows. Other columns are not read.
+    other's words; null ids count as the largest, and ids are integers. An empty table gives no rows. Other columns are not read.
     """
     schema = T.StructType(
         [
@@ -205,8 +205,14 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with repeated passages cut out of the text, all other columns unchanged.
 
-    A text that loses words is its other words joined by one space; any other text stays as it is.
+    A text that loses words is its other words joined by one space; any other text stays as it is, null too. Rows that
+    repeat an id do not cut each other's words; null ids count as the largest, and ids are integers. An empty table
+    gives no rows. Columns may have any name.
     """
+    # Inside, columns are numbered, so none can clash with those that are added.
+    names = docs.columns
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    id_column, text_column = (f"c{names.index(c)}" for c in (id_column, text_column))
 
     def finish(table: pa.Table, text: bl.BlockText, removed: np.ndarray) -> pa.Table:
         texts = table.column(text_column)
@@ -218,4 +224,4 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         at = table.schema.get_field_index(text_column)
         return table.set_column(at, text_column, pa.array(new, pa.string()))
 
-    return _marked(docs, id_column, text_column, finish, docs.schema)
+    return _marked(docs, id_column, text_column, finish, docs.schema).toDF(*names)

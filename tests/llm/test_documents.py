@@ -20,7 +20,7 @@ from grantweave.llm import blocks as bl
 from grantweave.llm import quality
 from grantweave.llm.components import components
 from grantweave.llm.exact_dedup import BLOCK_CHARS, drop_copies, exact_duplicates, named
-from grantweave.llm.jaccard_join import jaccard_components
+from grantweave.llm.jaccard_join import drop_near_copies, jaccard_components
 from grantweave.llm.packing import hilbert_keys, packed
 from grantweave.llm.quality import keep_good, quality_rules
 from grantweave.llm.substring_dedup import COVER, PERIOD, repeated_passages, without_repeats
@@ -298,13 +298,11 @@ def test_blocks_grow_with_ids(docs):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_token_ids(rows, tokenizer):
-    texts = [t or "" for _, t in rows] + ["a  b", " a", "a ", "x\n\ny", "\r\n a", "<|endoftext|> it's 12 3!", "  x", "\x1f \x1fy"]
+    texts = [t or "" for _, t in rows] + ["a  b", " a", "a ", "x\n\ny", "\r\n a", "<|endoftext|> it's 12 3!", "a <|endoftext|><|endoftext|>  b", "<|endoftext", "  x", "\x1f \x1fy"]
     ids = TextIds()
     for text in texts:
         assert np.frombuffer(ids.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
@@ -379,3 +377,39 @@ def test_pipeline_near_copies(spark, tmp_path):
     assert expected == {0, 10, 20, 30, 100, 101}
     stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
     assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} == expected
+
+
+def test_copies_of_repeated_ids(spark):
+    """Rows are told by id and text, and extra columns may have any name."""
+    rows = [(0, "b"), (1, "a"), (1, "b"), (1, "a"), (2, None), (None, ""), (None, "a c"), (3, "a  c")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    table = table.withColumn("_sha", F.lit("x")).withColumn("_kept_id", F.lit(1)).withColumn("own_id", F.lit(2))
+    out = drop_copies(table)
+    assert out.columns == table.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == [(0, "b"), (1, "a"), (2, None), (3, "a  c")]
+    assert drop_copies(table.filter("false")).count() == 0
+
+
+def test_near_copies_of_repeated_ids(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (1, long + " x"), (1, "other words"), (2, long), (None, long + " y"), (None, None), (0, "else")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("number", F.lit(1))
+    out = drop_near_copies(table.coalesce(1), width=5, percent=80)
+    assert out.columns == table.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(0, "else"), (1, long), (1, "other words"), (None, None)], key=str)
+
+
+def test_clashing_names_and_ids_of_other_types(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    table = spark.createDataFrame([(1, passage), (2, "a " + passage), (3, None), (4, "")], "doc_id long, text string")
+    table = table.withColumn("_block_of_ids", F.lit("kept")).withColumn("c0", F.lit(0))
+    out = without_repeats(table)
+    assert out.columns == table.columns
+    assert {r.doc_id: (r.text, r["_block_of_ids"]) for r in out.collect()} == {
+        1: (passage, "kept"), 2: ("a", "kept"), 3: (None, "kept"), 4: ("", "kept")
+    }
+    assert without_repeats(table.filter("false")).count() == 0
+    by_text = table.withColumn("doc_id", F.col("doc_id").cast("string"))
+    for call in (repeated_passages, without_repeats, jaccard_components, drop_near_copies):
+        with pytest.raises(ValueError, match="integer"):
+            call(by_text)
