@@ -34,9 +34,15 @@ def link_left(
     suffix: str = "_abs",
     null_safe: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
+    normal: bool = False,
 ) -> DataFrame:
-    """Left outer join on the normalised ``key``; several right rows multiply a left row."""
-    left, right = with_normal_key(left, key), with_normal_key(right, key)
+    """Left outer join on the normalised ``key``; several right rows multiply a left row.
+
+    ``normal`` says that both sides hold normalised keys already, as tables stored by key do; these are not
+    shuffled then.
+    """
+    if not normal:
+        left, right = with_normal_key(left, key), with_normal_key(right, key)
     right = suffix_collisions(left, right, key, suffix)
     return balanced_join(left, right, [key], "left", null_safe=null_safe, policy=policy)
 

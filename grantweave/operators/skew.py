@@ -126,7 +126,8 @@ def balanced_join(
 
     on_left = hot_keys(left if left_keys is None else left_keys, keys, policy)
     on_right = {} if right_unique else hot_keys(named if right_keys is None else right_keys, keys, policy)
-    if not on_left and not on_right and not (how == "left" and not null_safe):
+    if not on_left and not on_right:
+        # Nothing is hot, null keys included, so inputs that are stored by key stay where they are.
         return left.join(right, same, how).select(*output)
     hot = left.sparkSession.createDataFrame(
         [(h, on_left.get(h, 1), on_right.get(h, 1)) for h in {*on_left, *on_right}],

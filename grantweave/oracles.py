@@ -283,6 +283,10 @@ def all_sql() -> dict[str, str]:
             select d.doc_id::varchar as doc_id, lang, source, quality, toxic,
                 case when l.doc_id is not null then 'labels' end as source_abs
             from documents d left join labels l on d.doc_id = l.doc_id""",
+        "link_stored": """
+            select d.doc_id::varchar as doc_id, lang, source, quality, toxic,
+                case when l.doc_id is not null then 'labels' end as source_abs
+            from documents d left join (select distinct * from labels) l on d.doc_id = l.doc_id""",
         "link_audit": """
             select (select count(*) from orders)::bigint as left_rows, 6::bigint as left_cols,
                 (select count(*) from lineitem)::bigint as right_rows, 11::bigint as right_cols,

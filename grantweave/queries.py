@@ -21,6 +21,7 @@ from grantweave.plans import stages
 from grantweave.plans.config import StageConfig
 from grantweave.session import scratch_path, spread
 from grantweave.sources import csv_source as cs
+from grantweave.sources import keyed as kd
 from grantweave.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,6 +337,17 @@ def link_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link.link_left(documents, labels, "doc_id")
 
 
+def link_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link and full-row duplicates of two tables stored by key, each shuffled once, when it was written."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labels = table(spark, sf_dir, "labels").withColumn("source", F.lit("labels"))
+    folder = scratch_path(spark, "keyed")
+    for name, df in (("documents", documents), ("labels", labels.unionByName(labels))):
+        kd.write_linkable(df, f"{folder}/{name}", "doc_id", 8)
+    left, right = (kd.open_keyed(spark, f"{folder}/{name}") for name in ("documents", "labels"))
+    return link.link_left(left, dup.drop_full_duplicates(right), "doc_id", normal=True)
+
+
 def link_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "k")
     lineitem = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "k")
@@ -915,5 +927,6 @@ ALL: dict[str, Query] = {
         terms_used,
         split_positions,
         column_guard,
+        link_stored,
     )
 }

@@ -15,12 +15,13 @@ from grantweave.functions.text import concat_text, fold_accents, normalize_key,
 from grantweave.functions.translit import sequences, spellings
 from grantweave.functions.variants import variant_terms
 from grantweave.operators import append as ap
-from grantweave.operators import match, outcomes, split, stats
+from grantweave.operators import link, match, outcomes, split, stats
 from grantweave.operators import terms as tm
 from grantweave.operators import types as ty
 from grantweave.plans import DEFAULT_CONFIG, StageConfig, keywords, metrics, mlexport, preprocess
 from grantweave.plans.stages import config_terms, export_stage_csv, linked_outcomes, terms_used
 from grantweave.sources import csv_source as cs
+from grantweave.sources import keyed as kd
 from grantweave.sources import tables as tb
 
 
@@ -775,3 +776,31 @@ def test_row_positions(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.range(0).write.parquet(str(tmp_path / "none"))
     assert tb.read_with_positions(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_tables_stored_by_key_are_not_shuffled_again(spark, tmp_path):
+    """Link, duplicates and counts by the key read the buckets in place, also in a session that opens the table."""
+    left = spark.range(3_000).select(
+        F.concat(F.lit(" k"), F.col("id") % 700).alias("K"), F.col("id").alias("a b"), F.lit("x").alias("S")
+    )
+    right = spark.range(900).select(F.concat(F.lit("K"), F.col("id") % 800, F.lit(" ")).alias("K"), F.lit(1).alias("r"))
+    expected = link.link_left(left, right.distinct(), "K")
+    for name, df, n in (("left", left, 8), ("right", right, 4)):
+        kd.write_linkable(df, str(tmp_path / name), "K", n)
+    a, b = (kd.open_keyed(spark, str(tmp_path / name)) for name in ("left", "right"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.bucketing.coalesceBucketsInJoin.enabled", "true")
+    try:
+        linked = link.link_left(a, b.distinct(), "K", normal=True)
+        counts = a.distinct().groupBy("K").count()
+        for df, exchanges in ((counts, 0), (b.distinct(), 0), (link.link_left(a, a.select("K").distinct(), "K", normal=True), 0)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == exchanges, plan
+        # Only the smaller of two tables with unlike numbers of buckets moves.
+        assert linked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+        assert linked.exceptAll(expected).count() == expected.exceptAll(linked).count() == 0
+        assert counts.count() == 700
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.bucketing.coalesceBucketsInJoin.enabled")
+    assert kd.buckets_for(left) in {1 << i for i in range(16)}
