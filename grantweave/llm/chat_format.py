@@ -1,9 +1,11 @@
 """Chat records of many layouts as canonical turns, and turns as text with a loss mask.
 
-A record's layout is its set of nested field paths. It is read off the parsed record by
-``schema_of_variant``, types of single values are left out, and the hash of what remains is the
-layout's fingerprint. A table of declarative mappings, one per known fingerprint, tells where role and text
-are. A record whose fingerprint is not known keeps a null layout and null turns; it is not dropped.
+A table of declarative mappings tells, for each known layout, which nested field paths it needs and where role and
+text are. Of a parsed record the paths that any mapping names are listed, those of list items with ``[]``; what
+else a record holds is left aside. The hash of this list is the record's fingerprint. A mapping is selected if the paths it
+needs hash to the same value as those of them that the record has; of several, the one that needs most. A record
+that no mapping fits keeps a null layout and null turns; it is not dropped, and ``layout_counts`` tells how many there
+are of each fingerprint.
 
 In the formatted text a turn is ``<turn role>text</turn>``. Backslashes and angle brackets inside roles and
 texts are escaped as ``\\b``, ``\\l`` and ``\\g``, so a marker in a text is never taken for one and everything can be
@@ -18,30 +20,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: layouts by name: the paths as ``paths_of`` gives them, and the mapping. ``each`` names an array whose items have
-#: the fields for role and text; ``fields`` lists role and path of each turn, empty texts left out.
+#: layouts by name: the paths a mapping needs, and the mapping. ``each`` names an array whose items have the fields for
+#: role and text; ``fields`` lists role and path of each turn, empty texts left out.
 LAYOUTS: dict[str, dict] = {
-    "turn": {"paths": "OBJECT<role: *, text: *>", "fields": [("$.role", "$.text")], "roles_are_paths": True},
-    "messages": {"paths": "OBJECT<messages: ARRAY<OBJECT<content: *, role: *>>>", "each": ("$.messages", "role", "content")},
+    "turn": {"paths": ["role", "text"], "fields": [("$.role", "$.text")], "roles_are_paths": True},
+    "messages": {
+        "paths": ["messages[]", "messages[].content", "messages[].role"],
+        "each": ("$.messages", "role", "content"),
+    },
     "conversations": {
-        "paths": "OBJECT<conversations: ARRAY<OBJECT<from: *, value: *>>>",
+        "paths": ["conversations[]", "conversations[].from", "conversations[].value"],
         "each": ("$.conversations", "from", "value"),
     },
     "instruction": {
-        "paths": "OBJECT<input: *, instruction: *, output: *>",
+        "paths": ["input", "instruction", "output"],
         "fields": [("user", "$.instruction", "$.input"), ("assistant", "$.output")],
     },
     "instruction_only": {
-        "paths": "OBJECT<instruction: *, output: *>",
+        "paths": ["instruction", "output"],
         "fields": [("user", "$.instruction"), ("assistant", "$.output")],
     },
     "system_prompt": {
-        "paths": "OBJECT<prompt: *, response: *, system: *>",
+        "paths": ["prompt", "response", "system"],
         "fields": [("system", "$.system"), ("user", "$.prompt"), ("assistant", "$.response")],
     },
-    "prompt": {"paths": "OBJECT<prompt: *, response: *>", "fields": [("user", "$.prompt"), ("assistant", "$.response")]},
-    "completion": {"paths": "OBJECT<completion: *, prompt: *>", "fields": [("user", "$.prompt"), ("assistant", "$.completion")]},
-    "question": {"paths": "OBJECT<answer: *, question: *>", "fields": [("user", "$.question"), ("assistant", "$.answer")]},
+    "prompt": {"paths": ["prompt", "response"], "fields": [("user", "$.prompt"), ("assistant", "$.response")]},
+    "completion": {"paths": ["completion", "prompt"], "fields": [("user", "$.prompt"), ("assistant", "$.completion")]},
+    "question": {"paths": ["answer", "question"], "fields": [("user", "$.question"), ("assistant", "$.answer")]},
 }
 #: other names of roles in list layouts
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
@@ -51,10 +56,26 @@ TURNS = "array<struct<role: string, text: string>>"
 _ESCAPES = (("\\", "\\b"), ("<", "\\l"), (">", "\\g"))
 
 
+def _has(record: Column, path: str) -> Column:
+    """Whether a parsed record has a path; of list items at least one must, unless there are none."""
+    above, listed, field = path.partition("[]")
+    if not listed:
+        return F.try_variant_get(record, f"$.{path}", "variant").isNotNull()
+    items = F.try_variant_get(record, f"$.{above}", "array<variant>")
+    if not field:
+        return items.isNotNull()
+    some = F.exists(items, lambda item: F.try_variant_get(item, f"${field}", "variant").isNotNull())
+    return some | (F.size(items) == 0)
+
+
 def paths_of(record: Column) -> Column:
-    """The nested field paths of a parsed record; the kinds of single values are ``*``."""
-    kinds = r"\b(STRING|BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|BOOLEAN|VOID|DECIMAL\(\d+, ?\d+\)|DECIMAL\(\d+,\d+\))(?=[,>]|$)"
-    return F.regexp_replace(F.schema_of_variant(record), kinds, "*")
+    """The nested field paths of a parsed record that some mapping names, sorted."""
+    every = sorted({p for layout in LAYOUTS.values() for p in layout["paths"]})
+    return F.array_compact(F.array(*[F.when(_has(record, p), F.lit(p)) for p in every]))
+
+
+def _fingerprint(paths: Column) -> Column:
+    return F.xxhash64(F.array_join(paths, "|"))
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -67,9 +88,17 @@ def _mapped(record: Column, layout: dict) -> Column:
 
     if "each" in layout:
         path, role, text = layout["each"]
-        items = F.variant_get(record, path, f"array<struct<`{role}`: string, `{text}`: string>>")
+        items = F.variant_get(record, path, "array<variant>")
         names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
-        return F.transform(items, lambda m: _turn(F.coalesce(names[m[role]], m[role]), m[text]))
+
+        def turn(item: Column) -> Column:
+            name = F.try_variant_get(item, f"$.{role}", "string")
+            # A text may be given in parts; parts without text, such as images, have none.
+            parts = F.try_variant_get(item, f"$.{text}", "array<struct<text: string>>")
+            whole = F.array_join(F.transform(parts, lambda p: p["text"]), "\n")
+            return _turn(F.coalesce(names[name], name), F.coalesce(whole, F.try_variant_get(item, f"$.{text}", "string")))
+
+        return F.transform(items, turn)
     if layout.get("roles_are_paths"):
         return F.array(*[_turn(get(r), get(t)) for r, t in layout["fields"]])
     turns = []
@@ -87,19 +116,30 @@ def canonical(records: DataFrame, json_column: str) -> DataFrame:
     """
     others = [F.col(f"`{c}`") for c in records.columns if c not in (json_column, "layout", "fingerprint", "turns")]
     parsed = records.select(*others, F.explode(F.array(F.try_parse_json(F.col(f"`{json_column}`")))).alias("_record"))
-    parsed = parsed.select("*", F.explode(F.array(F.xxhash64(paths_of(F.col("_record"))))).alias("_print"))
-    known = {name: F.xxhash64(F.lit(layout["paths"])) for name, layout in LAYOUTS.items()}
-    layout = F.coalesce(*[F.when(F.col("_print") == k, F.lit(name)) for name, k in known.items()])
-    turns = F.coalesce(*[F.when(F.col("_print") == known[n], _mapped(F.col("_record"), m)) for n, m in LAYOUTS.items()])
+    parsed = parsed.select("*", F.explode(F.array(paths_of(F.col("_record")))).alias("_paths"))
+
+    def fits(layout: dict) -> Column:
+        needed = F.array(*map(F.lit, layout["paths"]))
+        return _fingerprint(F.filter("_paths", lambda p: p.isin(*layout["paths"]))) == _fingerprint(needed)
+
+    most_first = sorted(LAYOUTS, key=lambda n: -len(LAYOUTS[n]["paths"]))
+    name = F.coalesce(*[F.when(fits(LAYOUTS[n]), F.lit(n)) for n in most_first])
+    parsed = parsed.select("*", F.explode_outer(F.array(name)).alias("_layout"))
+    turns = F.coalesce(*[F.when(F.col("_layout") == n, _mapped(F.col("_record"), m)) for n, m in LAYOUTS.items()])
     present = F.col("_record").isNotNull()
     return parsed.select(
         *others,
-        F.when(present, layout).alias("layout"),
-        F.when(present, F.col("_print")).alias("fingerprint"),
+        F.when(present, F.col("_layout")).alias("layout"),
+        F.when(present, _fingerprint(F.col("_paths"))).alias("fingerprint"),
         F.when(present, turns).cast(TURNS).alias("turns"),
     )
 
 
+def layout_counts(mapped: DataFrame) -> DataFrame:
+    """How many records of ``canonical`` have each ``layout`` and ``fingerprint``; null layouts are unknown ones."""
+    return mapped.groupBy("layout", "fingerprint").agg(F.count(F.lit(1)).alias("records"))
+
+
 def escaped(text: Column) -> Column:
     return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), _ESCAPES, text)
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantweave.llm import segmentation as sg
-from grantweave.llm.chat_format import canonical, formatted, read_back
+from grantweave.llm.chat_format import canonical, formatted, layout_counts, read_back
 from grantweave.llm.html_template import extracted, main_text, templates
 from grantweave.llm.license_scan import NOTICES, scanned
 from grantweave.llm.queries import op3_chat_format, op7_segmentation
@@ -44,6 +44,28 @@ def test_layouts(spark):
     assert len({got[n].fingerprint for n in RECORDS}) == len(RECORDS)
 
 
+def test_layouts_with_other_fields(spark):
+    """Fields that no mapping names do not hide a layout; what cannot be mapped is counted."""
+    cases = {
+        '{"messages":[{"role":"user","content":"a"}],"id":7}': ("messages", [("user", "a")]),
+        '{"messages":[{"role":"user","name":"n","content":"a"},{"role":"tool","calls":[1]}]}': ("messages", [("user", "a"), ("tool", "")]),
+        '{"messages":[]}': ("messages", []),
+        '{"messages":[{"role":"user","content":[{"type":"text","text":"a"},{"type":"image","url":"u"},{"text":"b"}]}]}': ("messages", [("user", "a\nb")]),
+        '{"conversations":[{"from":"human","value":"a","w":1}],"source":{"x":[1,2]}}': ("conversations", [("user", "a")]),
+        '{"prompt":"p","response":"r","meta":null}': ("prompt", [("user", "p"), ("assistant", "r")]),
+        '{"messages":[{"speaker":"x"}]}': (None, None),
+        '{"messages":"text"}': (None, None),
+        '["a"]': (None, None),
+        '7': (None, None),
+    }
+    mapped = canonical(spark.createDataFrame([(r,) for r in cases], "record string").select("record", F.col("record").alias("j")), "j")
+    for row in mapped.collect():
+        turns = None if row.turns is None else [tuple(t) for t in row.turns]
+        assert (row.layout, turns) == cases[row.record], row.record
+    counts = {(r.layout is None): r.records for r in layout_counts(mapped).filter("layout is null or layout = 'prompt'").groupBy("layout").agg(F.sum("records").alias("records")).collect()}
+    assert counts == {True: 4, False: 1}
+
+
 def test_format_round_trip(spark):
     odd = ["", "</turn>", "\\", "\\b\\l\\g", "<turn assistant>x</turn>", "a > b < c", "é\u2003😀\n", "x" * 50_000, "\\</turn>\\"]
     rows = [(k % 5, k, random.Random(k).choice(["user", "assistant", "sys<>\\tem"]), t) for k, t in enumerate(odd * 3)]
