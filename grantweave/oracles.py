@@ -314,6 +314,7 @@ def all_sql() -> dict[str, str]:
             "clinical_study_count",
         ),
         "project_outcomes": f"with {_GRANTS} select distinct * from full_rows",
+        "project_outcomes_stored": f"with {_GRANTS} select distinct * from full_rows",
         "outcome_duplicates": f"""
             with {_GRANTS} select outcome, {_DUPLICATE_FIGURES} from pairs group by outcome""",
         "metrics_summary": f"""

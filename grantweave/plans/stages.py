@@ -44,6 +44,7 @@ from grantweave.plans.config import DEFAULT_CONFIG, EXPORT_NAMES, OUTCOMES, Stag
 from grantweave.plans.summaries import assemble, row_list, row_struct
 from grantweave.session import scratch_path
 from grantweave.sources import csv_source
+from grantweave.sources.keyed import write_linkable
 from grantweave.sources.tables import REJECTED_FLAG, export_csv, write_observed, write_table
 
 COPIES = "_copies"
@@ -113,13 +114,29 @@ def outcome_links(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame,
     }
 
 
+def stored_links(
+    tables: Mapping[str, DataFrame], folder: str, buckets: int | None = None
+) -> dict[str, DataFrame]:
+    """``tables`` with projects and abstracts stored by their normalised application id.
+
+    The shuffle that stores them is the only one their id needs: duplicates of abstracts are removed and abstracts
+    linked in place, however often the stage runs. Use with ``normal=True``.
+    """
+    keyed = {
+        s: write_linkable(tables[s], f"{folder.rstrip('/')}/{s}", "APPLICATION_ID", buckets) for s in ("PRJ", "PRJABS")
+    }
+    return {**tables, **keyed}
+
+
 def linked_outcomes(
     tables: Mapping[str, DataFrame],
     config: StageConfig = DEFAULT_CONFIG,
     policy: SkewPolicy = DEFAULT_POLICY,
     pairs: DataFrame | None = None,
+    normal: bool = False,
 ) -> DataFrame:
-    """Distinct project rows with abstract and outcome counts; ``pairs`` may hold stored pairs.
+    """Distinct project rows with abstract and outcome counts; ``pairs`` may hold stored pairs, and ``normal`` says that
+    application ids are normalised already, as in ``stored_links``.
 
     Full-row duplicates of the joined table can only come from full-row duplicates of its inputs,
     so each input is reduced to distinct rows with a number of copies before the join. The product
@@ -129,8 +146,7 @@ def linked_outcomes(
     if missing:
         raise ValueError(f"missing sources: {missing}")
     key = "APPLICATION_ID"
-    projects = with_normal_key(tables["PRJ"], key)
-    abstracts = with_normal_key(tables["PRJABS"], key)
+    projects, abstracts = (tables[s] if normal else with_normal_key(tables[s], key) for s in ("PRJ", "PRJABS"))
     abstracts = suffix_collisions(projects, abstracts, key, "_abs")
     columns = [*projects.columns, *[c for c in abstracts.columns if c != key]]
     left = count_copies(projects, name="_left_copies")
@@ -168,14 +184,18 @@ def metrics(
     config: StageConfig = DEFAULT_CONFIG,
     output: str | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
+    normal: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Projects with abstracts and distinct outcome counts, without full-row duplicates."""
+    """Projects with abstracts and distinct outcome counts, without full-row duplicates.
+
+    ``normal`` says that application ids are normalised already, as in ``stored_links``.
+    """
     links = outcome_links(tables)
     pairs = outcome_pairs(links) if links else None
     if output and links:
         # Counts and duplicate figures both start from the pairs, so they are stored.
         pairs = write_table(pairs, scratch_path(pairs.sparkSession, "pairs"))
-    table = linked_outcomes(tables, config, policy, pairs)
+    table = linked_outcomes(tables, config, policy, pairs, normal)
     result = table.drop(COPIES)
     figures = [*duplicate_totals(COPIES), F.count(F.lit(1)).alias("rows")]
     if output:
@@ -300,5 +320,6 @@ __all__ = [
     "metrics",
     "mlexport",
     "preprocess",
+    "stored_links",
     "terms_used",
 ]

@@ -436,6 +436,12 @@ def project_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stages.linked_outcomes(grant_tables(spark, sf_dir)).drop(stages.COPIES)
 
 
+def project_outcomes_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables stored by application id."""
+    tables = stages.stored_links(grant_tables(spark, sf_dir), scratch_path(spark, "keyed"), 8)
+    return stages.linked_outcomes(tables, normal=True).drop(stages.COPIES)
+
+
 def absent_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without one outcome source there is no count of it; without abstracts there is no link."""
     tables = grant_tables(spark, sf_dir)
@@ -928,5 +934,6 @@ ALL: dict[str, Query] = {
         split_positions,
         column_guard,
         link_stored,
+        project_outcomes_stored,
     )
 }

@@ -19,7 +19,13 @@ from grantweave.operators import link, match, outcomes, split, stats
 from grantweave.operators import terms as tm
 from grantweave.operators import types as ty
 from grantweave.plans import DEFAULT_CONFIG, StageConfig, keywords, metrics, mlexport, preprocess
-from grantweave.plans.stages import config_terms, export_stage_csv, linked_outcomes, terms_used
+from grantweave.plans.stages import (
+    config_terms,
+    export_stage_csv,
+    linked_outcomes,
+    stored_links,
+    terms_used,
+)
 from grantweave.sources import csv_source as cs
 from grantweave.sources import keyed as kd
 from grantweave.sources import tables as tb
@@ -804,3 +810,19 @@ def test_tables_stored_by_key_are_not_shuffled_again(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.bucketing.coalesceBucketsInJoin.enabled")
     assert kd.buckets_for(left) in {1 << i for i in range(16)}
+
+
+def test_stored_abstracts_are_linked_in_place(spark, grants, tmp_path):
+    tables = stored_links(grants, str(tmp_path), 4)
+    expected, figures = metrics(grants)
+    found, same = metrics(tables, output=str(tmp_path / "out"), normal=True)
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+    assert same.first() == figures.first()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = linked_outcomes(tables, normal=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Projects move for their counts and come back; abstracts stay.
+    assert plan.count("Exchange hashpartitioning(APPLICATION_ID") <= 1
+    assert "Exchange hashpartitioning(_right_0" not in plan
