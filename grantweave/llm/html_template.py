@@ -1,34 +1,54 @@
-"""Main text of web pages, by a keyword rule on tags; the tag classes of a host are deduced besides.
-
-A page is a sequence of tag tokens and text. A tag token is named by its path: the open elements around
-it with their class and id. Over the pages of a host, tokens with the same occurrence vector (the number
-of times each page has them) form an equivalence class. Vectors are compared by a sum of hashes of page
-and count, so a class is found by two aggregations, whose partial sums are formed before the shuffle;
-a host with a third of all pages costs one row per token and task. Of the valid classes, those whose tokens
-occur once on a page of their vector are listed as the template of the host, in one list.
-
-What is kept is decided by a keyword rule on the tags of the page: text inside navigation, headers, footers, sidebars,
-notices, adverts, forms and comments is left out, and that of main elements is kept. The template only orders main
-elements of one kind. Slots between its tokens, and whether text varies over the host, are not looked at.
+"""Main text of web pages by the template of their host.
+
+A page is a sequence of tokens: opened and closed elements, named by the open elements around them with their class
+and id, and blocks of text, named by their place and content.
+
+1. *Classes.* Over the distinct pages of a host, tokens with the same occurrence vector (the number of times each page
+   has them) form an equivalence class. Vectors are compared by a sum of hashes of page and count, so a class is found by
+   aggregations whose partial sums are formed before the shuffle; a host with a third of all pages costs one row per token
+   and task.
+2. *Order and nesting.* On each page a class repeats one order of its tokens; tokens that are elsewhere on some page leave
+   it. A class is valid if all pages begin and end it in the same gap of the same other class. If texts keep it from
+   repeating an order, its tags are tried alone.
+3. *Slots.* Pages are cut at the tokens of valid classes. A slot is a gap between two neighbours of a class, and what lies
+   there beside nested classes. A slot whose text is the same on every page that has text there is part of the template.
+4. *Choice.* Text of the template goes, and of several main elements those that only hold such text. Names of a class, id or
+   role break ties between slots that vary: those marked as navigation, adverts and so on go, those marked as the article
+   stay. On pages without an ``article`` or ``main`` element, a slot outside elements like ``nav`` that has ``MAIN_SHARE`` of
+   the varying text of its host is the article, whatever the names say. A main element that holds varying text is kept
+   whole, also where other pages repeat a part of it: nothing of an article is dropped. So pages with one ``article``
+   element have the text of that element with any template.
+
+A host with one distinct page has no template, and the names alone decide.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantweave.llm.tables import join_groups, stored
 
-#: a class counts if at least this share of the host's pages has it, and this many pages
+#: a class counts if at least this share of the host's distinct pages has it, and this many pages
 MIN_SHARE = 0.5
 MIN_PAGES = 2
+#: text is part of the template if at least this many pages have it
+CONSTANT_PAGES = 3
+#: a slot with this share of a host's varying text is the article, whatever it is called
+MAIN_SHARE = 2 / 3
+#: templates that a task keeps unpacked
+CACHED_HOSTS = 256
 
 #: fixed values: elements whose content is never text, and elements that stand beside an article
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "title", "object", "canvas")
@@ -88,14 +108,21 @@ def _aside_compound(name: str) -> bool:
     return len(parts) > 1 and parts[0] not in NOT_ITSELF and not ASIDE_PARTS.isdisjoint(parts)
 
 
+def _hash(name: str) -> int:
+    """64 bits as a signed number."""
+    found = xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass"))
+    return found - (1 << 64) if found >> 63 else found
+
+
 class Element:
     """An open element: what it is called in paths, whether it is the article or stands beside it.
 
     ``beside`` is whether its own tag says so, ``marked`` whether its own names do. ``aside`` has what holds
-    it as well; names on an element that holds the article do not count, see ``clear``.
+    it as well; names on an element that holds the article do not count, see ``clear``. ``tagged`` is ``aside``
+    by tags alone. ``path`` is a hash of the path, so that deep nesting costs no more than shallow.
     """
 
-    __slots__ = ("name", "path", "parent", "beside", "marked", "aside", "main")
+    __slots__ = ("name", "path", "depth", "parent", "beside", "marked", "aside", "tagged", "main")
 
     def __init__(self, name: str, attributes: str, parent: "Element | None"):
         marks: set[str] = set()
@@ -108,11 +135,13 @@ class Element:
                 continue
             names |= found & SECTION_IDS if key.lower() == "id" and name == "section" else found
         self.name = name
-        self.path = (parent.path if parent else "") + "/" + ".".join([name, *sorted(marks)])
+        self.path = _hash(f"{parent.path if parent else 0}/{'.'.join([name, *sorted(marks)])}")
+        self.depth = parent.depth + 1 if parent else 1
         self.parent = parent
         self.beside = name in ASIDE
         self.marked = name not in ("html", "body") and (not ASIDE_WORDS.isdisjoint(names) or any(map(_aside_compound, names)))
         self.aside = bool(parent and parent.aside) or self.beside or self.marked
+        self.tagged = bool(parent and parent.tagged) or self.beside
         self.main = name in ("article", "main") or (name in ("div", "section") and not MAIN_WORDS.isdisjoint(names))
 
     def above(self) -> Iterator["Element"]:
@@ -157,10 +186,41 @@ def read(page: str) -> Iterator[tuple[str, Element | None, str]]:
         yield "text", top(), page[at:]
 
 
-def tag_tokens(page: str) -> Counter:
-    return Counter(
-        ("" if kind == "open" else "-") + element.path for kind, element, _ in read(page) if kind in ("open", "close")
-    )
+class Piece(NamedTuple):
+    """An opened or closed element, or a block of text in one."""
+
+    kind: str
+    element: Element | None
+    text: str
+
+    def token(self) -> int:
+        """Odd for text, even for tags."""
+        found = _hash(f"{self.kind} {self.element.path if self.element else 0} {self.text}")
+        return found | 1 if self.kind == "text" else found & ~1
+
+
+def pieces(page: str) -> list[Piece]:
+    """The page with the text of each block in one piece: references decoded, white space as one space, never empty."""
+    found: list[Piece] = []
+    held: list[str] = []
+    inside: Element | None = None
+
+    def end() -> None:
+        block = _space.sub(" ", html.unescape("".join(held))).strip()
+        if block:
+            found.append(Piece("text", inside, block))
+        held.clear()
+
+    for kind, element, text in read(page):
+        if kind == "text":
+            held.append(text)
+            inside = element
+            continue
+        end()
+        if kind != "break":
+            found.append(Piece(kind, element, ""))
+    end()
+    return found
 
 
 def clear(elements: list[Element], article: Element) -> None:
@@ -171,15 +231,106 @@ def clear(elements: list[Element], article: Element) -> None:
         e.aside = bool(e.parent and e.parent.aside) or e.beside or e.marked
 
 
-def roots_of(elements: list[Element], known: set[str]) -> set[Element]:
-    """The main elements that do not hold each other: the best kind first, of one kind the outermost.
-
-    An element in ``known``, the paths of the host's template, goes before others of its kind.
-    """
+def order_of(tokens: list[int]) -> list[int] | None:
+    """The order that the tokens of one class repeat on a page; None if they do not repeat one."""
+    order = list(dict.fromkeys(tokens))
+    return order if tokens == order * (len(tokens) // len(order)) else None
+
+
+def out_of_order(usual: list[int], order: list[int]) -> list[int]:
+    """The tokens outside a longest part of ``order`` that is in the usual order too."""
+    rank = {t: k for k, t in enumerate(usual)}
+    tails: list[int] = []
+    ends: list[int] = []
+    before: list[int] = []
+    for k, t in enumerate(order):
+        at = bisect_left(tails, rank[t])
+        before.append(ends[at - 1] if at else -1)
+        tails[at : at + 1] = [rank[t]]
+        ends[at : at + 1] = [k]
+    kept: set[int] = set()
+    k = ends[-1] if ends else -1
+    while k >= 0:
+        kept.add(order[k])
+        k = before[k]
+    return [t for t in order if t not in kept]
+
+
+class Gap(NamedTuple):
+    """A gap of a class on a page, and the outermost gap around it."""
+
+    owner: int
+    index: int
+    top: int
+
+    @property
+    def slot(self) -> int:
+        return _hash(f"{self.owner}:{self.index}")
+
+
+#: outside all classes
+OUTSIDE = Gap(0, 0, 0)
+
+
+def cut(tokens: list[int], orders: dict[int, list[int]]) -> list[tuple[int | None, Gap]]:
+    """Of each token, the class it belongs to (None: none) and the gap it lies in. A token out of turn is no template token."""
+    place = {t: (c, i) for c, order in orders.items() for i, t in enumerate(order)}
+    open_classes: list[list[int]] = []
+    level: dict[int, int] = {}
+    found: list[tuple[int | None, Gap]] = []
+
+    def leave(depth: int) -> None:
+        for c, _ in open_classes[depth:]:
+            del level[c]
+        del open_classes[depth:]
+
+    def gap() -> Gap:
+        if not open_classes:
+            return OUTSIDE
+        (outer, at), (inner, index) = open_classes[0], open_classes[-1]
+        return Gap(inner, index, _hash(f"{outer}:{at}"))
+
+    for token in tokens:
+        c, i = place.get(token, (None, 0))
+        if c is not None and i > 0 and (c not in level or open_classes[level[c]][1] != i - 1):
+            c = None
+        if c is None:
+            found.append((None, gap()))
+            continue
+        if i == 0:
+            leave(level.get(c, len(open_classes)))
+            found.append((c, gap()))
+            level[c] = len(open_classes)
+            open_classes.append([c, 0])
+        else:
+            leave(level[c] + 1)
+            found.append((c, gap()))
+            open_classes[-1][1] = i
+        if i == len(orders[c]) - 1:
+            leave(level[c])
+    return found
+
+
+class Template:
+    """The valid classes of a host with their order, and its slots: whether their text varies, and the one with most of it."""
+
+    def __init__(self, classes: list[dict], slots: list[dict]):
+        self.orders = {c["owner"]: c["order"] for c in classes}
+        self.constant = {s["slot"] for s in slots if not s["varies"]}
+        weights: Counter = Counter()
+        for s in slots:
+            if s["varies"]:
+                weights[s["top"]] += s["chars"]
+        top, weight = max(weights.items(), key=lambda w: (w[1], w[0]), default=(0, 0))
+        self.main = top if top and weight >= MAIN_SHARE * sum(weights.values()) and weight > 0 else None
+
+
+def roots_of(elements: list[Element]) -> set[Element]:
+    """The main elements that do not hold each other: the best kind first, of one kind the outermost."""
     mains = [e for e in elements if e.main and not e.aside]
     roots: set[Element] = set()
     over: set[Element] = set()
-    for e in sorted(mains, key=lambda e: (_rank(e), e.path not in known, e.path.count("/"))):
+    for e in sorted(mains, key=lambda e: (_rank(e), e.depth)):
         if e in over or not roots.isdisjoint(e.above()):
             continue
         roots.add(e)
@@ -187,97 +338,262 @@ def roots_of(elements: list[Element], known: set[str]) -> set[Element]:
     return roots
 
 
-def main_text(page: str, template: list[str] | None) -> str:
-    """The article's blocks, one per line. ``template`` lists the host's template tokens."""
-    tokens = list(read(page))
-    elements = [element for kind, element, _ in tokens if kind == "open"]
-    known = set(template or ())
+def main_text(page: str, template: Template | None) -> str:
+    """The article's blocks, one per line; without a template by the names of the page alone."""
+    found = pieces(page)
+    elements = [p.element for p in found if p.kind == "open"]
     for e in elements:
         if e.name == "main" and e.aside and any(x.marked for x in e.above()):
             clear(elements, e)
-    text = _blocks(tokens, elements, roots_of(elements, known))
+    text = _chosen(found, elements, template)
     if not text:
         # Nothing is left: an article inside an element with such a name is the article after all.
         for e in elements:
             if e.name == "article" and e.aside and not e.marked and any(x.marked for x in e.above()):
                 clear(elements, e)
-        text = _blocks(tokens, elements, roots_of(elements, known))
+        text = _chosen(found, elements, template)
     return text
 
 
-def _blocks(tokens: list[tuple[str, Element | None, str]], elements: list[Element], roots: set[Element]) -> str:
-    """The text in ``roots``, or of the whole page if there are none, but not what stands beside it."""
+def _chosen(found: list[Piece], elements: list[Element], template: Template | None) -> str:
+    roots = roots_of(elements)
+    if template is None:
+        return _blocks(found, elements, roots)
+    places = cut([p.token() for p in found], template.orders)
+    fixed = {k for k, (c, gap) in enumerate(places) if found[k].kind == "text" and (c is not None or gap.slot in template.constant)}
+    texts = [k for k, p in enumerate(found) if p.kind == "text"]
+    if fixed.issuperset(texts):
+        return _blocks(found, elements, roots)
+    varying = _roots_with([found[k].element for k in texts if k not in fixed], roots)
+    if any(_rank(e) < 2 for e in roots):
+        return _blocks(found, elements, varying or roots)
+    chief = {found[k].element for k in texts if k not in fixed and places[k][1].top == template.main} - {None}
+    chief = {e for e in chief if not e.tagged}
+    if any(e.aside for e in chief):
+        for e in chief:
+            for x in (e, *e.above()):
+                x.marked = False
+        for e in elements:
+            e.aside = bool(e.parent and e.parent.aside) or e.beside or e.marked
+    if chief and not _roots_with(list(chief), varying):
+        varying = set()
+    return _blocks(found, elements, varying, frozenset() if varying else fixed) or _blocks(found, elements, roots)
+
+
+def _roots_with(inside: list[Element | None], roots: set[Element]) -> set[Element]:
+    """Those roots that hold one of these elements and do not set it aside."""
+    held: set[Element] = set()
+    seen: set[Element] = set()
+    for e in inside:
+        if e is None or e.aside:
+            continue
+        for x in (e, *e.above()):
+            if x in seen:
+                break
+            seen.add(x)
+            if x in roots:
+                held.add(x)
+    return held
+
+
+def _blocks(found: list[Piece], elements: list[Element], roots: set[Element], fixed: set[int] = frozenset()) -> str:
+    """The text in ``roots``, or of the whole page if there are none, but not what stands beside it nor what is ``fixed``."""
     kept: set[Element | None] = set() if roots else {None}
     for e in elements:
         if not e.aside and (not roots or e in roots or e.parent in kept):
             kept.add(e)
-    blocks: list[str] = []
-    held: list[str] = []
-
-    def end() -> None:
-        block = _space.sub(" ", html.unescape("".join(held))).strip()
-        if block:
-            blocks.append(block)
-        held.clear()
-
-    for kind, element, text in tokens:
-        if kind != "text":
-            end()
-        elif element in kept:
-            held.append(text)
-    end()
-    return "\n".join(blocks)
+    return "\n".join(p.text for k, p in enumerate(found) if p.kind == "text" and p.element in kept and k not in fixed)
 
 
 def _rank(element: Element) -> int:
     return 0 if element.name == "article" else 1 if element.name == "main" else 2
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """Of each ``host``: its number of pages ``_n`` and ``template``, the tokens of its valid classes."""
+def _batch(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values())], list(types))
 
-    schema = T.StructType(
-        [
-            T.StructField("host", T.StringType()),
-            T.StructField("page", T.LongType()),
-            T.StructField("tokens", T.ArrayType(T.StringType())),
-            T.StructField("counts", T.ArrayType(T.LongType())),
-        ]
+
+def tokenized(pages: DataFrame) -> DataFrame:
+    """Of each page its host, a digest, its tokens and, per token, characters of text: 0 for tags, negative in ``nav`` and such."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, chars, digests = [], [], []
+            for page in batch.column(1).to_pylist():
+                found = pieces(page or "")
+                tokens.append([p.token() for p in found])
+                chars.append([-len(p.text) if p.element and p.element.tagged else len(p.text) for p in found])
+                digests.append(_hash(" ".join(map(str, tokens[-1]))))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(2), pa.array(digests, pa.int64()), pa.array(tokens, pa.list_(pa.int64())),
+                    pa.array(chars, pa.list_(pa.int64())),
+                ],
+                ["host", "page", "digest", "tokens", "chars"],
+            )
+
+    return pages.select("host", "html", F.monotonically_increasing_id()).mapInArrow(
+        run, "host string, page long, digest long, tokens array<long>, chars array<long>"
     )
 
+
+def equivalence_classes(pages: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Of each host: ``members``, the tokens of its frequent classes with the class they are in."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [tag_tokens(h.as_py() or "") for h in batch.column(1)]
+            counts = [Counter(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array([list(c) for c in found], pa.list_(pa.string())),
-                    pa.array([list(c.values()) for c in found], pa.list_(pa.int64())),
+                    batch.column(0), batch.column(1), pa.array([list(c) for c in counts], pa.list_(pa.int64())),
+                    pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())),
                 ],
-                schema.names,
+                ["host", "page", "token", "times"],
             )
 
-    read_pages = pages.select("host", "html", F.monotonically_increasing_id()).mapInArrow(run, schema)
-    counted = read_pages.select(
-        "host", "page", F.explode(F.arrays_zip("tokens", "counts")).alias("t")
-    ).select("host", "page", F.col("t.tokens").alias("token"), F.col("t.counts").alias("count"))
-    vectors = counted.groupBy("host", "token").agg(
-        F.sum(F.xxhash64("page", "count").cast("decimal(38,0)")).alias("_vector"),
-        F.count(F.lit(1)).alias("_support"),
-        F.max("count").alias("_most"),
+    counted = pages.select("host", "page", "tokens").mapInArrow(run, "host string, page long, token array<long>, times array<long>")
+    vectors = (
+        counted.select("host", "page", F.inline(F.arrays_zip("token", "times")))
+        .groupBy("host", "token")
+        .agg(F.sum(F.xxhash64("page", "times").cast("decimal(38,0)")).alias("vector"), F.count(F.lit(1)).alias("support"))
+    )
+    least = F.when(F.col("token").bitwiseAND(F.lit(1)) == 1, CONSTANT_PAGES).otherwise(MIN_PAGES)
+    frequent = (F.col("support") >= least) & (F.col("support") >= MIN_SHARE * F.col("_n"))
+    return (
+        join_groups(vectors, sizes, ["host"], "_n")
+        .filter(frequent)
+        .groupBy("host")
+        .agg(F.collect_list(F.struct("token", F.xxhash64("vector").alias("owner"))).alias("members"))
+    )
+
+
+def ordered_classes(pages: DataFrame, members: DataFrame) -> DataFrame:
+    """Of each host: ``classes``, each with the order of its tokens that most pages have, less tokens that are elsewhere on some page.
+
+    A class that does not repeat one order on some page is tried again without its texts, else it is no class.
+    """
+
+    def orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, tokens, found in zip(*(c.to_pylist() for c in batch.columns)):
+                owner = {m["token"]: m["owner"] for m in found}
+                runs: dict[int, list[int]] = {}
+                for token in tokens:
+                    if token in owner:
+                        runs.setdefault(owner[token], []).append(token)
+                for c, run in runs.items():
+                    tags = [t for t in run if not t & 1]
+                    rows.append((host, c, order_of(run), order_of(tags) if tags else None))
+            yield _batch(rows, host=pa.string(), owner=pa.int64(), whole=pa.list_(pa.int64()), tags=pa.list_(pa.int64()))
+
+    found = join_groups(pages, members, ["host"], "_n").select("host", "tokens", "members").mapInArrow(
+        orders, "host string, owner long, whole array<long>, tags array<long>"
+    )
+    # Equal orders are counted before those of a host meet, so a large host sends one row per order and task.
+    counted = stored(found.groupBy("host", "owner", "whole", "tags").agg(F.count(F.lit(1)).alias("pages")), "orders")
+    usual = counted.groupBy("host", "owner").agg(
+        *(F.max_by(c, F.struct("pages", c)).alias(c) for c in ("whole", "tags")),
+        *(F.bool_and(F.col(c).isNotNull()).alias(f"{c}_repeats") for c in ("whole", "tags")),
+    )
+    by_whole = F.when(F.col("whole_repeats"), F.col("whole"))
+    chosen = usual.select(
+        "host", "owner", F.coalesce(by_whole, F.when(F.col("tags_repeats"), F.col("tags"))).alias("order"), F.col("whole_repeats").alias("with_text")
+    ).filter("order is not null")
+
+    @F.pandas_udf("array<long>")
+    def moved(usual_order: pd.Series, order: pd.Series) -> pd.Series:
+        return pd.Series([out_of_order(list(a), list(b)) for a, b in zip(usual_order, order)])
+
+    leaving = (
+        counted.join(chosen, ["host", "owner"])
+        .withColumn("here", F.when(F.col("with_text"), F.col("whole")).otherwise(F.col("tags")))
+        .filter(F.col("here") != F.col("order"))
+        .select("host", "owner", F.explode(moved("order", "here")).alias("token"))
+        .groupBy("host", "owner")
+        .agg(F.collect_set("token").alias("moved"))
+    )
+    kept = chosen.join(leaving, ["host", "owner"], "left").select(
+        "host", "owner", F.array_except("order", F.coalesce("moved", F.array().cast("array<long>"))).alias("order")
+    )
+    return kept.filter("size(order) > 0").groupBy("host").agg(F.collect_list(F.struct("owner", "order")).alias("classes"))
+
+
+def nested_classes(pages: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of each host: ``classes``, those that begin in the same gap of the same class on all pages and end there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, tokens, found in zip(*(c.to_pylist() for c in batch.columns)):
+                orders = {f["owner"]: f["order"] for f in found}
+                owner = {t: c for c, order in orders.items() for t in order}
+                parents: dict[int, set[int | None]] = {}
+                for token, (c, gap) in zip(tokens, cut(tokens, orders)):
+                    if token not in owner:
+                        continue
+                    if c is None:
+                        # Another class of the page lies across this one.
+                        parents.setdefault(owner[token], set()).add(None)
+                    elif gap.owner != c:
+                        parents.setdefault(c, set()).add(gap.slot)
+                rows += [(host, c, next(iter(p)) if len(p) == 1 else None) for c, p in parents.items()]
+            yield _batch(rows, host=pa.string(), owner=pa.int64(), parent=pa.int64())
+
+    placed = join_groups(pages, classes, ["host"], "_n").select("host", "tokens", "classes").mapInArrow(
+        run, "host string, owner long, parent long"
     )
-    sizes = stored(pages.groupBy("host").agg(F.count(F.lit(1)).alias("_n")), "hosts")
-    valid = (F.col("_support") >= MIN_PAGES) & (F.col("_support") >= MIN_SHARE * F.col("_n")) & (F.col("_most") == 1)
-    classes = (
-        vectors.join(sizes, "host").filter(valid).groupBy("host", "_vector").agg(F.collect_list("token").alias("_tokens"))
+    nested = placed.groupBy("host", "owner").agg(
+        (F.bool_and(F.col("parent").isNotNull()) & (F.min("parent") == F.max("parent"))).alias("nested")
     )
-    merged = classes.filter(F.size("_tokens") > 1).groupBy("host").agg(
-        F.array_sort(F.flatten(F.collect_list("_tokens"))).alias("template")
+    return (
+        classes.select("host", F.inline("classes"))
+        .join(nested.filter("nested"), ["host", "owner"])
+        .groupBy("host")
+        .agg(F.collect_list(F.struct("owner", "order")).alias("classes"))
     )
-    return stored(
-        sizes.join(merged, "host", "left").select("host", "_n", "template"), "templates"
+
+
+def slot_figures(pages: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of each host: ``slots``, each with its outermost slot, whether its text varies over the pages, and its characters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for host, tokens, chars, found in zip(*(c.to_pylist() for c in batch.columns)):
+                held: dict[Gap, list[int]] = {}
+                weight: Counter = Counter()
+                for token, size, (c, gap) in zip(tokens, chars, cut(tokens, {f["owner"]: f["order"] for f in found})):
+                    if size and c is None:
+                        held.setdefault(gap, []).append(token)
+                        weight[gap] += max(size, 0)
+                rows += [(host, g.slot, g.top, _hash(" ".join(map(str, t))), weight[g]) for g, t in held.items()]
+            yield _batch(rows, host=pa.string(), slot=pa.int64(), top=pa.int64(), text=pa.int64(), chars=pa.int64())
+
+    cuts = join_groups(pages, classes, ["host"], "_n").select("host", "tokens", "chars", "classes").mapInArrow(
+        run, "host string, slot long, top long, text long, chars long"
+    )
+    varies = (F.min("text") != F.max("text")) | (F.count(F.lit(1)) < CONSTANT_PAGES)
+    figures = cuts.groupBy("host", "slot").agg(F.max("top").alias("top"), varies.alias("varies"), F.sum("chars").alias("chars"))
+    return figures.groupBy("host").agg(F.collect_list(F.struct("slot", "top", "varies", "chars")).alias("slots"))
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """Of each ``host``: ``_rows`` pages, ``_n`` distinct ones, its valid ``classes`` and its ``slots``, both null without a template."""
+    tokens = stored(tokenized(pages), "page_tokens")
+    sizes = stored(
+        tokens.groupBy("host").agg(F.count(F.lit(1)).alias("_rows"), F.countDistinct("digest").alias("_n")), "hosts"
     )
+    shared = stored(sizes.filter(F.col("_n") >= MIN_PAGES).select("host", "_n"), "shared_hosts")
+    # Pages that are fetched twice count once.
+    firsts = tokens.groupBy("host", "digest").agg(F.min("page").alias("page"))
+    distinct = stored(tokens.join(firsts.select("page"), "page", "left_semi"), "distinct_pages")
+    members = stored(equivalence_classes(distinct, shared).join(shared, "host"), "classes")
+    ordered = stored(ordered_classes(distinct, members).join(shared, "host"), "ordered_classes")
+    nested = stored(nested_classes(distinct, ordered).join(shared, "host"), "nested_classes")
+    found = nested.join(slot_figures(distinct, nested), "host").select("host", "classes", "slots")
+    return stored(sizes.join(found, "host", "left").select("host", "_rows", "_n", "classes", "slots"), "templates")
 
 
 def extracted(
@@ -287,7 +603,8 @@ def extracted(
 
     Text is the article: its blocks in page order, one per line, character references decoded, white space as
     one space. Null html counts as empty and has empty text; rows without a url are one host. Repeated rows
-    are read each for itself, an empty table gives no rows, and other columns are not read.
+    are read each for itself and count once for the template; an empty table gives no rows, and other columns are not read.
+    Very long pages are read whole, in time linear in their length.
     """
     host = F.coalesce(
         F.lower(F.regexp_extract(F.col(f"`{url_column}`").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit("")
@@ -295,7 +612,7 @@ def extracted(
     rows = pages.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{url_column}`").alias("url"), F.col(f"`{html_column}`").cast("string").alias("html"), host.alias("host")
     )
-    joined = join_groups(rows, templates(rows), ["host"], "_n").select("id", "url", "html", "template")
+    joined = join_groups(rows, templates(rows), ["host"], "_rows").select("id", "url", "html", "host", "classes", "slots")
     schema = T.StructType(
         [
             T.StructField(id_column, pages.schema[id_column].dataType),
@@ -306,8 +623,16 @@ def extracted(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Template | None] = {}
         for batch in batches:
-            texts = [main_text(h.as_py() or "", t.as_py()) for h, t in zip(batch.column(2), batch.column(3))]
+            texts = []
+            for k, (page, name) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                if name not in known:
+                    if len(known) >= CACHED_HOSTS:
+                        known.clear()
+                    classes, slots = batch.column(4)[k].as_py(), batch.column(5)[k].as_py()
+                    known[name] = Template(classes, slots) if classes and slots else None
+                texts.append(main_text(page or "", known[name]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 schema.names,

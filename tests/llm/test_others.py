@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from grantweave.llm import segmentation as sg
 from grantweave.llm.chat_format import canonical, formatted, layout_counts, read_back
-from grantweave.llm.html_template import extracted, main_text, templates
+from grantweave.llm.html_template import extracted, main_text, out_of_order, templates
+from grantweave.llm.html_template import pieces as page_pieces
 from grantweave.llm.license_scan import NOTICES, scanned
 from grantweave.llm.queries import op3_chat_format, op7_segmentation
 from grantweave.llm.segmentation import Pieces, merged, segmented
@@ -166,13 +167,100 @@ def test_pages(spark):
     assert extracted(table.filter("false")).count() == 0
 
 
-def test_template_classes(spark):
-    """Tokens that are once on each page are template; those that vary in number are not."""
-    pages = spark.createDataFrame([("h", PAGE.format(title="t", more="<p>x</p>" * k)) for k in range(5)], "host string, html string")
-    found = templates(pages).first()
-    names = [t for t in found.template if t.endswith("article.post")]
-    assert found._n == 5 and len(names) == 2
-    assert not any(t.endswith("/article.post/p") for t in found.template)
+def host_pages(spark, *hosts):
+    rows = [
+        (100 * h + k, f"https://h{h}.example/", f"<html><body>{body}</body></html>")
+        for h, bodies in enumerate(hosts)
+        for k, body in enumerate(bodies)
+    ]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+
+
+def prose(k, n=30):
+    return " ".join(f"w{k * k + i * (k + 3)}" for i in range(n))
+
+
+def test_classes_against_brute_force(spark):
+    """Classes, their order and nesting from the vectors of all pages; an element that moves leaves, so does a rare one."""
+    bodies = []
+    for k in range(8):
+        box = "<aside><h2>x</h2></aside>" if k % 4 else ""
+        moved = "<section>m</section>"
+        items = "".join(f"<li>{prose(k + j, 2)}</li>" for j in range(k % 3 + 1))
+        bodies.append(f"{moved if k % 2 else ''}<nav>Home</nav>{box}<div><ul>{items}</ul></div>{'' if k % 2 else moved}{'<hr><pre>r</pre>' if k < 3 else ''}")
+    bodies.append(bodies[0])
+    rows = host_pages(spark, bodies).withColumn("host", F.lit("h"))
+    found = templates(rows).first()
+    assert (found._rows, found._n) == (9, 8)
+
+    pages = [[p.token() for p in page_pieces(f"<html><body>{b}</body></html>")] for b in bodies[:8]]
+    vectors = {}
+    for token in {t for p in pages for t in p}:
+        vector = tuple(p.count(token) for p in pages)
+        if sum(map(bool, vector)) >= max(4, 3 if token & 1 else 2):
+            vectors.setdefault(vector, set()).add(token)
+    moves = {p.token() for p in page_pieces(f"<html><body>{bodies[1]}</body></html>") if p.element.name == "section"}
+    classes = set()
+    for tokens in vectors.values():
+        orders = set()
+        for p in pages:
+            run = [t for t in p if t in tokens - moves]
+            if run:
+                k = len(tokens - moves)
+                orders.add(tuple(run[:k]) if run == run[:k] * (len(run) // k) else None)
+        if len(orders) == 1 and None not in orders:
+            classes |= orders
+    assert {tuple(c.order) for c in found.classes} == classes
+    names = {p.token(): (p.kind, p.element.name, p.text) for p in page_pieces(f"<html><body>{bodies[1]}</body></html>")}
+    got = {tuple(names[t] for t in order) for order in classes}
+    assert (("open", "aside", ""), ("open", "h2", ""), ("text", "h2", "x"), ("close", "h2", ""), ("close", "aside", "")) in got
+    assert (("open", "li", ""), ("close", "li", "")) in got
+
+
+def test_out_of_order():
+    for k in range(200):
+        rng = random.Random(k)
+        order = rng.sample(range(8), 8)
+        left = [t for t in order if t not in out_of_order(list(range(8)), order)]
+        most = max(n for n in range(9) for part in itertools.combinations(order, n) if list(part) == sorted(part))
+        assert left == sorted(left) and len(left) == most
+    assert out_of_order([], []) == []
+
+
+def test_slots_overrule_names(spark):
+    """Where the names mislead, text that varies over the host is taken, and text that does not is left."""
+    cases = [
+        # The article is in an element called a widget; what is called the content is the same everywhere.
+        ('<div class="widget"><h2>{k} title</h2><p>{text}</p></div><div class="content"><p>Buy now, all days.</p></div>', "{k} title\n{text}"),
+        # Nothing is named; a notice is the same everywhere.
+        ('<div class="x1"><p>We value your privacy a lot.</p></div><div class="x2"><p>{text}</p></div>', "{text}"),
+        # Of two main elements only one varies.
+        ("<article><p>Ten tips that never change.</p></article><article><h1>{k}</h1><p>{text}</p></article>", "{k}\n{text}"),
+        # Names decide between slots that vary.
+        ('<div class="ad">{k}{k} off</div><div class="x2"><p>{text}</p></div>', "{text}"),
+        # Repeated parts of an article that varies stay.
+        ("<article><p>Dear reader,</p><p>{text}</p></article>", "Dear reader,\n{text}"),
+    ]
+    pages = host_pages(spark, *([body.format(k=k, text=prose(k)) for k in range(5)] for body, _ in cases))
+    got = {r.page_id: r.text for r in extracted(pages).collect()}
+    assert got == {100 * h + k: expected.format(k=k, text=prose(k)) for h, (_, expected) in enumerate(cases) for k in range(5)}
+    # By names alone the first two are wrong.
+    for body, expected in cases[:2]:
+        assert main_text(body.format(k=1, text=prose(1)), None) != expected.format(k=1, text=prose(1))
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    """Pages that were fetched again, or differ beside the article only, keep their text."""
+    same = [f"<div class=x><p>{prose(1)}</p></div>"] * 4
+    ads = [f"<nav>{k}</nav><div class=ad>{prose(k)}</div><article><p>{prose(1)}</p></article>" for k in range(4)]
+    assert {r.text for r in extracted(host_pages(spark, same, ads)).collect()} == {prose(1)}
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 5_000 + "deep" + "</div>" * 5_000
+    long = "<article>" + "<p>word</p>" * 100_000 + "</article>"
+    got = {r.page_id: r.text for r in extracted(host_pages(spark, [deep, long])).collect()}
+    assert got == {0: "deep", 1: "\n".join(["word"] * 100_000)}
 
 
 def test_main_text_without_article():
