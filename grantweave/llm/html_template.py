@@ -29,6 +29,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pandas as pd
@@ -49,6 +50,8 @@ CONSTANT_PAGES = 3
 MAIN_SHARE = 2 / 3
 #: templates that a task keeps unpacked
 CACHED_HOSTS = 256
+#: tags, paths and tokens that a task remembers
+REMEMBERED = 1 << 14
 
 #: fixed values: elements whose content is never text, and elements that stand beside an article
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "title", "object", "canvas")
@@ -100,7 +103,6 @@ _token = re.compile(
 _attribute = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _words = re.compile(r"[a-z]+")
 _parts = re.compile(r"[-_]+")
-_space = re.compile(r"\s+")
 
 
 def _aside_compound(name: str) -> bool:
@@ -114,6 +116,36 @@ def _hash(name: str) -> int:
     return found - (1 << 64) if found >> 63 else found
 
 
+@lru_cache(REMEMBERED)
+def _path(parent: int, label: str) -> int:
+    return _hash(f"{parent}/{label}")
+
+
+@lru_cache(REMEMBERED)
+def _tag_token(kind: str, path: int) -> int:
+    return _hash(f"{kind} {path}") & ~1
+
+
+@lru_cache(REMEMBERED)
+def _told(name: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """What a tag says: its name in paths, and whether it stands beside the article, is marked so by name, or is the article."""
+    marks: set[str] = set()
+    names: set[str] = set()
+    for key, *values in _attribute.findall(attributes) if attributes else ():
+        value = " ".join(values).lower()
+        marks.update(_words.findall(value))
+        found = set(value.split())
+        if key.lower() == "id" and name in HEADINGS:
+            continue
+        names |= found & SECTION_IDS if key.lower() == "id" and name == "section" else found
+    return (
+        ".".join([name, *sorted(marks)]),
+        name in ASIDE,
+        name not in ("html", "body") and (not ASIDE_WORDS.isdisjoint(names) or any(map(_aside_compound, names))),
+        name in ("article", "main") or (name in ("div", "section") and not MAIN_WORDS.isdisjoint(names)),
+    )
+
+
 class Element:
     """An open element: what it is called in paths, whether it is the article or stands beside it.
 
@@ -125,24 +157,13 @@ class Element:
     __slots__ = ("name", "path", "depth", "parent", "beside", "marked", "aside", "tagged", "main")
 
     def __init__(self, name: str, attributes: str, parent: "Element | None"):
-        marks: set[str] = set()
-        names: set[str] = set()
-        for key, *values in _attribute.findall(attributes):
-            value = " ".join(values).lower()
-            marks.update(_words.findall(value))
-            found = set(value.split())
-            if key.lower() == "id" and name in HEADINGS:
-                continue
-            names |= found & SECTION_IDS if key.lower() == "id" and name == "section" else found
+        label, self.beside, self.marked, self.main = _told(name, attributes)
         self.name = name
-        self.path = _hash(f"{parent.path if parent else 0}/{'.'.join([name, *sorted(marks)])}")
+        self.path = _path(parent.path if parent else 0, label)
         self.depth = parent.depth + 1 if parent else 1
         self.parent = parent
-        self.beside = name in ASIDE
-        self.marked = name not in ("html", "body") and (not ASIDE_WORDS.isdisjoint(names) or any(map(_aside_compound, names)))
         self.aside = bool(parent and parent.aside) or self.beside or self.marked
         self.tagged = bool(parent and parent.tagged) or self.beside
-        self.main = name in ("article", "main") or (name in ("div", "section") and not MAIN_WORDS.isdisjoint(names))
 
     def above(self) -> Iterator["Element"]:
         """The elements that hold it, innermost first."""
@@ -195,8 +216,8 @@ class Piece(NamedTuple):
 
     def token(self) -> int:
         """Odd for text, even for tags."""
-        found = _hash(f"{self.kind} {self.element.path if self.element else 0} {self.text}")
-        return found | 1 if self.kind == "text" else found & ~1
+        path = self.element.path if self.element else 0
+        return _hash(f"{path} {self.text}") | 1 if self.kind == "text" else _tag_token(self.kind, path)
 
 
 def pieces(page: str) -> list[Piece]:
@@ -206,7 +227,7 @@ def pieces(page: str) -> list[Piece]:
     inside: Element | None = None
 
     def end() -> None:
-        block = _space.sub(" ", html.unescape("".join(held))).strip()
+        block = " ".join(html.unescape("".join(held)).split())
         if block:
             found.append(Piece("text", inside, block))
         held.clear()
@@ -261,15 +282,20 @@ class Gap(NamedTuple):
 
     owner: int
     index: int
-    top: int
+    outer_owner: int
+    outer_index: int
 
     @property
     def slot(self) -> int:
         return _hash(f"{self.owner}:{self.index}")
 
+    @property
+    def top(self) -> int:
+        return _hash(f"{self.outer_owner}:{self.outer_index}")
+
 
 #: outside all classes
-OUTSIDE = Gap(0, 0, 0)
+OUTSIDE = Gap(0, 0, 0, 0)
 
 
 def cut(tokens: list[int], orders: dict[int, list[int]]) -> list[tuple[int | None, Gap]]:
@@ -288,14 +314,13 @@ def cut(tokens: list[int], orders: dict[int, list[int]]) -> list[tuple[int | Non
         if not open_classes:
             return OUTSIDE
         (outer, at), (inner, index) = open_classes[0], open_classes[-1]
-        return Gap(inner, index, _hash(f"{outer}:{at}"))
+        return Gap(inner, index, outer, at)
 
+    here = OUTSIDE
     for token in tokens:
         c, i = place.get(token, (None, 0))
-        if c is not None and i > 0 and (c not in level or open_classes[level[c]][1] != i - 1):
-            c = None
-        if c is None:
-            found.append((None, gap()))
+        if c is None or (i > 0 and (c not in level or open_classes[level[c]][1] != i - 1)):
+            found.append((None, here))
             continue
         if i == 0:
             leave(level.get(c, len(open_classes)))
@@ -308,6 +333,7 @@ def cut(tokens: list[int], orders: dict[int, list[int]]) -> list[tuple[int | Non
             open_classes[-1][1] = i
         if i == len(orders[c]) - 1:
             leave(level[c])
+        here = gap()
     return found
 
 
@@ -357,7 +383,8 @@ def main_text(page: str, template: Template | None) -> str:
 
 def _chosen(found: list[Piece], elements: list[Element], template: Template | None) -> str:
     roots = roots_of(elements)
-    if template is None:
+    if template is None or (len(roots) == 1 and all(_rank(e) < 2 for e in roots)):
+        # An article element that is the only one is kept whole with any template.
         return _blocks(found, elements, roots)
     places = cut([p.token() for p in found], template.orders)
     fixed = {k for k, (c, gap) in enumerate(places) if found[k].kind == "text" and (c is not None or gap.slot in template.constant)}
