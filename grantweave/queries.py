@@ -343,7 +343,7 @@ def link_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").withColumn("source", F.lit("labels"))
     folder = scratch_path(spark, "keyed")
     for name, df in (("documents", documents), ("labels", labels.unionByName(labels))):
-        kd.write_linkable(df, f"{folder}/{name}", "doc_id", 8)
+        kd.write_linkable(df, f"{folder}/{name}", "doc_id")
     left, right = (kd.open_keyed(spark, f"{folder}/{name}") for name in ("documents", "labels"))
     return link.link_left(left, dup.drop_full_duplicates(right), "doc_id", normal=True)
 
@@ -438,7 +438,7 @@ def project_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def project_outcomes_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from tables stored by application id."""
-    tables = stages.stored_links(grant_tables(spark, sf_dir), scratch_path(spark, "keyed"), 8)
+    tables = stages.stored_links(grant_tables(spark, sf_dir), scratch_path(spark, "keyed"))
     return stages.linked_outcomes(tables, normal=True).drop(stages.COPIES)
 
 

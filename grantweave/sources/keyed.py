@@ -19,7 +19,10 @@ from pyspark.sql import types as T
 from grantweave.operators.link import with_normal_key
 from grantweave.session import input_bytes
 
-BUCKET_BYTES = 256 * 1024**2
+#: input for one bucket; a task holds the rows of its bucket, which take many times their stored size in memory
+BUCKET_BYTES = 16 * 1024**2
+#: small tables have so many, to fill the cores
+MIN_BUCKETS = 8
 MAX_BUCKETS = 1 << 15
 #: folder in the table that names its layout; file listings leave it out
 _LAYOUT = "_layout"
@@ -27,8 +30,8 @@ _SPEC = "keys array<string>, buckets int, columns string"
 
 
 def buckets_for(df: DataFrame) -> int:
-    """A power of two, so that any two tables have numbers that divide each other."""
-    wanted = max(1, min(-(-input_bytes(df) // BUCKET_BYTES), MAX_BUCKETS))
+    """In proportion to the input, and a power of two, so that any two tables have numbers that divide each other."""
+    wanted = max(MIN_BUCKETS, min(-(-input_bytes(df) // BUCKET_BYTES), MAX_BUCKETS))
     return 1 << (wanted - 1).bit_length()
 
 

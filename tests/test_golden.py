@@ -3,6 +3,7 @@
 import dataclasses
 import json
 import random
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -10,6 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from grantweave import queries
 from grantweave.functions.pattern import term_pattern
 from grantweave.functions.text import concat_text, fold_accents, normalize_key, normalize_keyword
 from grantweave.functions.translit import sequences, spellings
@@ -826,3 +828,23 @@ def test_stored_abstracts_are_linked_in_place(spark, grants, tmp_path):
     # Projects move for their counts and come back; abstracts stay.
     assert plan.count("Exchange hashpartitioning(APPLICATION_ID") <= 1
     assert "Exchange hashpartitioning(_right_0" not in plan
+
+
+def test_stored_tables_have_buckets_by_size(spark, monkeypatch):
+    """A bucket, which one task holds, does not grow with the table."""
+    for n in (20, 25, 30, 33):
+        ids = spark.range(1 << n)  # eight bytes a row
+        assert kd.buckets_for(ids) * 16 * 1024**2 >= 8 << n
+        assert kd.buckets_for(ids) >= 8
+    sf = "/root/testdata/sf0.001"
+    expected = queries.project_outcomes(spark, sf)
+    monkeypatch.setattr(kd, "BUCKET_BYTES", 10_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = queries.project_outcomes_stored(spark, sf)
+        for df in (found, queries.link_stored(spark, sf)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert max(map(int, re.findall(r"SelectedBucketsCount: \d+ out of (\d+)", plan))) > 8, plan
+        assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
