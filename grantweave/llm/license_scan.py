@@ -2,7 +2,8 @@
 
 A document's two-word shingles are hashed and cut into windows that overlap by nearly half. For each of
 ``BANDS`` hash orders the smallest shingle of a window is its band value; the orders are made by xor with a
-seed. Notices are cut in the same way at every offset. Equal band values retrieve a notice. A notice of up
+seed. Notices are cut in the same way at every offset. Equal band values retrieve a notice. A band value is a
+shingle of its window, so windows without a shingle of any notice have none that is equal and are left out. A notice of up
 to five words lies in one window whole and has a Jaccard similarity of at least 4/7 with it, so with eight
 bands of one row it is missed with probability (3/7)^8, about 1 in 900; longer notices meet several windows.
 
@@ -116,32 +117,42 @@ def telling(found: Column) -> Column:
     return F.filter(F.zip_with(F.slice(found, 1, n), F.slice(found, 2, n), hashed), lambda x: x.isNotNull())
 
 
-def orders(hashes: Column) -> Column:
-    """The shingles in the order of each band: one array per band. Overlapping windows share them."""
+def every_offset(hashes: str) -> Column:
+    """The windows at every shingle, by the place of their first shingle, from 1."""
+    size = F.size(F.col(hashes))
+    return F.when(size > 0, F.sequence(F.lit(1), F.greatest(size, F.lit(1)))).otherwise(F.array().cast("array<int>"))
 
-    def order(seed: int) -> Column:
-        return F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(seed)))
 
-    return F.array(*map(order, _SEEDS))
+def places_of(hashes: str, known: list[int]) -> Column:
+    """The places, from 0, of the ``known`` shingles."""
+    listed = [F.lit(v).cast("bigint") for v in known]
+    return F.filter(F.transform(F.col(hashes), lambda x, i: F.when(x.isin(*listed), i)), lambda i: i.isNotNull())
 
 
-def band_values(ordered: str, step: int) -> Column:
-    """The band values of the windows at every ``step`` shingles, with the band's number in the lowest bits.
+def windows_over(places: str) -> Column:
+    """Of the windows at every ``STEP`` shingles those that hold one of the ``places``, as in ``every_offset``."""
 
-    ``ordered`` names a column with the ``orders`` of the shingles; an expression would be computed per window.
+    def around(i: Column) -> Column:
+        first = F.greatest(F.floor((i - (WINDOW - STEP)) / STEP).cast("int"), F.lit(0))
+        return F.transform(F.sequence(first, F.floor(i / STEP).cast("int")), lambda m: m * STEP + 1)
+
+    return F.array_distinct(F.flatten(F.transform(F.col(places), around)))
+
+
+def band_values(hashes: str, starts: str) -> Column:
+    """The band values of the windows that begin at ``starts``, with the band's number in the lowest bits.
+
+    Both name columns; an expression would be computed per window.
     """
-    size = F.size(F.get(F.col(ordered), F.lit(0)))
-    starts = F.sequence(F.lit(1), F.greatest(size, F.lit(1)), F.lit(step))
 
     def band(k: int) -> Column:
-        return F.transform(
-            starts,
-            lambda i: F.array_min(F.slice(F.get(F.col(ordered), F.lit(k)), i, WINDOW))
-            .bitwiseAND(F.lit(~_TAG))
-            .bitwiseOR(F.lit(k)),
-        )
+        def least(i: Column) -> Column:
+            ordered = F.transform(F.slice(F.col(hashes), i, WINDOW), lambda x: x.bitwiseXOR(F.lit(_SEEDS[k])))
+            return F.array_min(ordered).bitwiseAND(F.lit(~_TAG)).bitwiseOR(F.lit(k))
+
+        return F.transform(F.col(starts), least)
 
-    return F.when(size > 0, F.concat(*[band(k) for k in range(BANDS)])).otherwise(F.array().cast("array<bigint>"))
+    return F.concat(*[band(k) for k in range(BANDS)])
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -153,8 +164,8 @@ def notices(spark: SparkSession, texts: dict[str, str]) -> list[tuple[str, list[
     """Name, shingles, telling shingles and band values of every notice; as many rows as notices."""
     table = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("text")) for k, v in texts.items()])).alias("n"))
     table = table.select("n.name", F.array_distinct(pairs(words(F.col("n.text")))).alias("hashes"), telling(words(F.col("n.text"))).alias("telling"), pairs(words(F.col("n.text"))).alias("all"))
-    table = _once(table, "_ordered", orders(F.col("all")))
-    rows = table.select("name", "hashes", "telling", F.array_distinct(band_values("_ordered", 1)).alias("bands")).collect()
+    table = _once(table, "_starts", every_offset("all"))
+    rows = table.select("name", "hashes", "telling", F.array_distinct(band_values("all", "_starts")).alias("bands")).collect()
     return [(r.name, r.hashes, r.telling, r.bands) for r in rows]
 
 
@@ -172,8 +183,11 @@ def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rows = docs.select(F.col(f"`{id_column}`"), text_or_empty(text_column).alias("_text"))
     rows = _once(rows, "_words", words(F.col("_text"))).drop("_text")
     rows = _once(rows, "_hashes", pairs(F.col("_words"))).drop("_words")
-    rows = _once(rows, "_ordered", orders(F.col("_hashes")))
-    rows = _once(rows, "_bands", band_values("_ordered", STEP)).drop("_ordered")
+    # A band value is a shingle of its window, so a window without a notice's shingle agrees with none.
+    rows = _once(rows, "_places", places_of("_hashes", sorted({h for _, hashes, *_ in known for h in hashes})))
+    rows = _once(rows, "_starts", windows_over("_places"))
+    rows = _once(rows, "_bands", band_values("_hashes", "_starts")).drop("_starts")
+    rows = _once(rows, "_shared", F.transform("_places", lambda i: F.get("_hashes", i))).drop("_places")
 
     def found(name: str, hashes: list[int], must: list[int], bands: list[int]) -> Column:
         wanted, need, n = longs(hashes), -(-MIN_CONTAINED_PERCENT * len(hashes) // 100), len(hashes)
@@ -186,7 +200,9 @@ def scanned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
         contained = F.exists(starts, close)
         retrieved = F.arrays_overlap("_bands", longs(bands))
-        return F.when(F.when(retrieved, contained).otherwise(F.lit(False)), F.lit(name))
+        # A stretch has no more of the notice than the whole text.
+        possible = F.size(F.array_intersect(F.col("_shared"), wanted)) >= need
+        return F.when(F.when(retrieved, F.when(possible, contained).otherwise(F.lit(False))).otherwise(F.lit(False)), F.lit(name))
 
     every = longs(sorted({v for *_, bands in known for v in bands}))
     names = F.when(F.arrays_overlap("_bands", every), F.array(*[found(*notice) for notice in known]))

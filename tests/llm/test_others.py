@@ -9,6 +9,7 @@ import tracemalloc
 import pytest
 from pyspark.sql import functions as F
 
+from grantweave.llm import license_scan as ls
 from grantweave.llm import segmentation as sg
 from grantweave.llm.chat_format import canonical, formatted, layout_counts, read_back
 from grantweave.llm.html_template import extracted, main_text, out_of_order, templates
@@ -144,6 +145,29 @@ def test_license_variants(spark):
     assert {text: got[k] for k, (text, _) in enumerate(cases)} == dict(cases)
 
 
+def test_license_windows(spark):
+    """Windows without a shingle of a notice are left out, and no band value that a notice has is lost."""
+    draw = random.Random(5)
+    known = list(range(1, 40))
+    texts = [[draw.choice(known) if draw.random() < share else draw.randrange(10**6, 10**18) for _ in range(n)]
+             for n in (0, 1, 2, 6, 7, 8, 9, 31, 300) for share in (0, 0.02, 0.3, 1)]
+    texts.append([10**9 + k for k in range(3_000)] + [7] + [10**10 + k for k in range(3_000)])
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, hashes array<bigint>")
+    rows = ls._once(docs, "places", ls.places_of("hashes", known))
+    rows = ls._once(rows, "starts", ls.windows_over("places"))
+    got = {r.id: r for r in rows.select("id", "starts", ls.band_values("hashes", "starts").alias("bands")).collect()}
+    for k, text in enumerate(texts):
+        windows = {i + 1: text[i : i + ls.WINDOW] for i in range(0, len(text), ls.STEP)}
+        assert sorted(got[k].starts) == [i for i, w in windows.items() if set(w) & set(known)]
+        signed = lambda v: (v + (1 << 63)) % (1 << 64) - (1 << 63)
+        of = lambda w: {signed(min(x ^ seed for x in w) & ~(ls.BANDS - 1) | b) for b, seed in enumerate(ls._SEEDS)}
+        listed = {v for x in known for v in of([x])}
+        assert set(got[k].bands) & listed == {v for w in windows.values() for v in of(w)} & listed
+    assert len(got[len(texts) - 1].bands) <= 2 * ls.BANDS
+    plain = spark.createDataFrame([(1, "one two three " * 2_000)], "doc_id long, text string")
+    assert scanned(plain).collect()[0].n_licenses == 0
+
+
 # --- pages -----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>no</title><style>p{{}}</style><script>var t="<p>no</p>";</script></head><body>
